@@ -121,9 +121,17 @@ def fingerprint(c) -> Column:
     return F.sha2(F.coalesce(_c(c), F.lit("")), 256)
 
 
-def payload(*cols: str) -> Column:
-    """row (or the named columns) to JSON, NULL fields kept as null."""
-    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
+JSON_OPTIONS = {"ignoreNullFields": "false",
+                "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+
+
+def payload(*cols) -> Column:
+    """row (or the named columns) to JSON, NULL fields kept as null.
+
+    Timestamps render as 'yyyy-MM-dd HH:mm:ss' so the text is engine-neutral.
+    """
+    return F.to_json(F.struct(*[_c(c) for c in cols]), JSON_OPTIONS)
 
 
 def std_code(c) -> Column:
