@@ -24,42 +24,41 @@ def _names(cols) -> list[str]:
 
 
 def merge_upsert(tgt: DataFrame, src: DataFrame, keys, update: Sequence[str] | None = None,
-                 insert: bool = True, delete_unmatched: bool = False) -> DataFrame:
+                 insert: bool = True) -> DataFrame:
     """M1/M2: ``MERGE ... WHEN MATCHED UPDATE SET <update> WHEN NOT MATCHED INSERT``.
 
     ``update=None`` updates every non-key column.  Source must hold at most
     one row per key (callers dedup with W1 first).  NULL keys never match,
     as in SQL.  Output has the target's columns.
+
+    Plan: untouched target rows are ``tgt LEFT ANTI src``; matched rows are
+    the source row (full update) or ``tgt JOIN src`` with per-column picks
+    (partial update); inserts are ``src LEFT ANTI tgt``.  Every join is an
+    equi-join on the natural key (one shuffle per side, reused across the
+    three joins by exchange reuse).
     """
     keys = _names(keys)
     cols = tgt.columns
+    types = {f.name: f.dataType for f in tgt.schema.fields}
     upd = [c for c in cols if c not in keys] if update is None else list(update)
-    t = tgt.withColumn("_t", F.lit(True)).alias("t")
-    s = src.select(*[c for c in cols if c in src.columns]).withColumn("_s", F.lit(True)).alias("s")
+    s = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(types[c]).alias(c) for c in cols])
+    skeys = s.select(*keys)
+    kept = tgt.join(skeys, keys, "left_anti")
+    if set(upd) >= set(c for c in cols if c not in keys):
+        matched_or_new = s if insert else s.join(tgt.select(*keys), keys, "left_semi")
+        return kept.unionByName(matched_or_new)
+    t = tgt.alias("t")
+    sa = s.alias("s")
     cond = None
     for k in keys:
         e = F.col(f"t.{k}") == F.col(f"s.{k}")
         cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("t._t").isNotNull() & F.col("s._s").isNotNull()
-    only_s = F.col("t._t").isNull()
-    out = []
-    for c in cols:
-        tc = F.col(f"t.{c}")
-        sc = F.col(f"s.{c}") if c in src.columns else F.lit(None).cast(tgt.schema[c].dataType)
-        if c in keys:
-            v = F.when(only_s, sc).otherwise(tc)
-        elif c in upd:
-            v = F.when(matched | only_s, sc).otherwise(tc)
-        else:
-            v = F.when(only_s, sc).otherwise(tc)
-        out.append(v.cast(tgt.schema[c].dataType).alias(c))
-    res = j
-    if not insert:
-        res = res.where(F.col("t._t").isNotNull())
-    if delete_unmatched:
-        res = res.where(F.col("s._s").isNotNull())
-    return res.select(*out)
+    matched = t.join(sa, cond).select(*[
+        (F.col(f"s.{c}") if c in upd else F.col(f"t.{c}")).alias(c) for c in cols])
+    out = kept.unionByName(matched)
+    if insert:
+        out = out.unionByName(s.join(tgt.select(*keys), keys, "left_anti"))
+    return out
 
 
 def merge_insert(tgt: DataFrame, src: DataFrame, keys) -> DataFrame:
