@@ -93,3 +93,21 @@ def stg_budget(raw: DataFrame) -> DataFrame:
         try_number("IMPORTE_PPTO", 18, 2).alias("BUDGET_AMOUNT"),
         "_LOADED_AT",
     )
+
+
+# Columns the propagation task may change on a known (order, item); org,
+# channel, division and currency keep their first-loaded values (M2).
+ORDER_PROPAGATE_UPDATE = ["ORDER_DATE", "CUSTOMER_ID", "PRODUCT_ID", "QUANTITY", "NET_AMOUNT", "_LOADED_AT"]
+
+
+def propagate_orders(changes_raw: DataFrame, stg: DataFrame) -> DataFrame:
+    """Change feed of RAW orders -> STAGING.
+
+    Latest change per raw key (W1 on VBELN, POSNR), cleaned (P1), merged on
+    the cleaned key updating only ``ORDER_PROPAGATE_UPDATE`` (M2).  Every
+    staging row of a matched key is updated, as a MERGE does.
+    """
+    from saleswh.operators.merge import merge_upsert
+    from saleswh.operators.windows import latest
+    last = latest(changes_raw, ["VBELN", "POSNR"], ["_LOADED_AT"])
+    return merge_upsert(stg, stg_sales_orders(last), ["ORDER_ID", "ITEM_NO"], update=ORDER_PROPAGATE_UPDATE)

@@ -17,6 +17,7 @@ from saleswh.operators.merge import merge_upsert
 from saleswh.operators.sizing import small
 from saleswh.operators.windows import latest, surrogate
 from saleswh.plans import staging
+from saleswh.session import checkpoint_dir
 from saleswh.sources import bridge
 
 # Parameters (the reference anchors on today; we anchor on a parameter).
@@ -136,9 +137,10 @@ class Warehouse:
     """Lazy bundle of the batch branch for one input folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
-                 cal_start: str = CAL_START, cal_end: str = CAL_END):
+                 cal_start: str = CAL_START, cal_end: str = CAL_END, materialize: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.cal_start, self.cal_end = cal_start, cal_end
+        self.materialize = materialize
 
     # RAW
     @cached_property
@@ -191,21 +193,31 @@ class Warehouse:
         return staging.stg_budget(self.raw_budget)
 
     # CURATED
+    def _commit(self, df: DataFrame) -> DataFrame:
+        """Dimensions are committed before facts read them: materialise once
+        into ``spark.checkpoint.dir`` so probes and lookups reuse the files."""
+        if not self.materialize:
+            return df
+        checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     @cached_property
     def dim_date(self):
         return dim_date_iso(self.spark, self.cal_start, self.cal_end)
 
     @cached_property
     def dim_customer(self):
-        return initial_scd2(self.stg_customers, "CUSTOMER_ID", "CUSTOMER_SK", CUSTOMER_COLS, self.as_of)
+        return self._commit(initial_scd2(self.stg_customers, "CUSTOMER_ID", "CUSTOMER_SK", CUSTOMER_COLS,
+                                         self.as_of))
 
     @cached_property
     def dim_product(self):
-        return initial_scd2(self.stg_materials, "PRODUCT_ID", "PRODUCT_SK", PRODUCT_COLS, self.as_of)
+        return self._commit(initial_scd2(self.stg_materials, "PRODUCT_ID", "PRODUCT_SK", PRODUCT_COLS,
+                                         self.as_of))
 
     @cached_property
     def dim_sales_org(self):
-        return dim_sales_org(self.stg_sales_org)
+        return self._commit(dim_sales_org(self.stg_sales_org))
 
     @cached_property
     def fact_sales_orders(self):
