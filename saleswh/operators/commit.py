@@ -54,3 +54,20 @@ def commit(df: DataFrame, root: str, version: int | str, partition_by: list[str]
         fh.write(name)
     os.replace(tmp, _pointer(root))
     return True
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and reading it back.
+
+    Unlike ``checkpoint()`` the re-read is a parquet scan, so later plans
+    keep column pruning and filter pushdown on it.  The folder survives
+    executor loss (it is the cluster's shared checkpoint location).
+    """
+    import uuid
+
+    from saleswh.session import checkpoint_dir
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "materialized", f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

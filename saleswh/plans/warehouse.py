@@ -17,7 +17,7 @@ from saleswh.operators.merge import merge_upsert
 from saleswh.operators.sizing import small
 from saleswh.operators.windows import latest, surrogate
 from saleswh.plans import staging
-from saleswh.session import checkpoint_dir
+from saleswh.operators.commit import materialize
 from saleswh.sources import bridge
 
 # Parameters (the reference anchors on today; we anchor on a parameter).
@@ -137,10 +137,10 @@ class Warehouse:
     """Lazy bundle of the batch branch for one input folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
-                 cal_start: str = CAL_START, cal_end: str = CAL_END, materialize: bool = True):
+                 cal_start: str = CAL_START, cal_end: str = CAL_END, commit_tables: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.cal_start, self.cal_end = cal_start, cal_end
-        self.materialize = materialize
+        self.commit_tables = commit_tables
 
     # RAW
     @cached_property
@@ -170,19 +170,20 @@ class Warehouse:
     # STAGING
     @cached_property
     def stg_sales_orders(self):
-        return staging.stg_sales_orders(self.raw_sales_orders)
+        # read by several DQ rules and the fact: committed once
+        return self._commit(staging.stg_sales_orders(self.raw_sales_orders), "stg_sales_orders")
 
     @cached_property
     def stg_billing(self):
-        return staging.stg_billing(self.raw_billing)
+        return staging.stg_billing(self.raw_billing)  # read once per plan: not committed
 
     @cached_property
     def stg_customers(self):
-        return staging.stg_customers(self.raw_customers)
+        return staging.stg_customers(self.raw_customers)  # read once per plan: not committed
 
     @cached_property
     def stg_materials(self):
-        return staging.stg_materials(self.raw_materials)
+        return staging.stg_materials(self.raw_materials)  # read once per plan: not committed
 
     @cached_property
     def stg_sales_org(self):
@@ -193,13 +194,13 @@ class Warehouse:
         return staging.stg_budget(self.raw_budget)
 
     # CURATED
-    def _commit(self, df: DataFrame) -> DataFrame:
-        """Dimensions are committed before facts read them: materialise once
-        into ``spark.checkpoint.dir`` so probes and lookups reuse the files."""
-        if not self.materialize:
+    def _commit(self, df: DataFrame, label: str = "table") -> DataFrame:
+        """Staging tables and dimensions are committed before facts read them:
+        write once as parquet under ``spark.checkpoint.dir`` and read back, so
+        probes, lookups and rules reuse the files (with pruning/pushdown)."""
+        if not self.commit_tables:
             return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        return materialize(df, label)
 
     @cached_property
     def dim_date(self):
