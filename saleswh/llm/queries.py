@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import quality, simhash
+from saleswh.llm import quality, simhash, substrings
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document, and a digest of those kept."""
+    kept = substrings.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    removed = F.aggregate("word_spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
+    return kept.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(words, 256).alias("kept_sha256"))
