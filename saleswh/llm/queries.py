@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import quality, simhash, substrings
+from saleswh.llm import decontaminate, quality, simhash, substrings
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     removed = F.aggregate("word_spans", F.lit(0).cast("long"), lambda n, s: n + s["words"])
     return kept.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(words, 256).alias("kept_sha256"))
+
+
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words hit, items found and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matched(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

@@ -268,38 +268,6 @@ def _parse(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(of), "place": lists[0], "windows": lists[1], "owner": lists[2]})
 
 
-def _spans(hit: np.ndarray, first: np.ndarray) -> pa.Array:
-    """For each text its runs of hit words, as (first word, words) within the text."""
-    edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
-    cut = np.zeros(len(hit) + 1, bool)
-    cut[first] = True
-    starts = np.flatnonzero((edge[:-1] == 1) | (hit & cut[:-1]))
-    ends = np.flatnonzero((edge[1:] == -1) | (hit & cut[1:])) + 1
-    row = np.searchsorted(first, starts, side="right") - 1
-    values = pa.StructArray.from_arrays([pa.array(starts - first[row], pa.int64()), pa.array(ends - starts, pa.int64())], names=["start", "words"])
-    return pa.ListArray.from_arrays(np.searchsorted(row, np.arange(len(first))).astype(np.int32), values)
-
-
-def without(column: pa.Array, hit: np.ndarray, w: W.Words, keep: np.ndarray) -> pa.Array:
-    """The texts less the words that are hit, each with the white space (all that is not a word) after it."""
-    raw, at = W.text_bytes(column)
-    word = keep[raw]
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    full = np.flatnonzero(np.diff(at))
-    begins[at[full]] = word[at[full]]
-    begins = np.flatnonzero(begins)
-    # a hit word's bytes go up to the next word or the end of its text
-    stops = np.minimum(np.append(begins[1:], len(raw)), at[1:][w.rows()]) if len(begins) else begins
-    edge = np.zeros(len(raw) + 1, np.int32)
-    np.add.at(edge, begins[hit], 1)
-    np.add.at(edge, stops[hit], -1)
-    stay = np.cumsum(edge[:-1]) == 0
-    ends = np.concatenate([[0], np.cumsum(stay)])[at]
-    out = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[stay]))]).cast(pa.large_string())
-    return pc.if_else(pc.is_valid(column), out, pa.scalar(None, pa.large_string()))
-
-
 def _clean(chunk: pa.Table, factors: pa.Table) -> pa.Table:
     docs = _unpack(chunk["blob"][0].as_py())
     text = docs["text"].combine_chunks() if isinstance(docs["text"], pa.ChunkedArray) else docs["text"]
@@ -314,7 +282,7 @@ def _clean(chunk: pa.Table, factors: pa.Table) -> pa.Table:
         np.add.at(edge, at[mine] + n[mine] + WINDOW - 1, -1)
     hit = np.cumsum(edge)[:-1] > 0
     others = [c for c in docs.column_names if c not in ("text", "word_spans", "n_words")]
-    return pa.table({**{c: docs[c] for c in others}, "text": without(text, hit, p, W.NOT_SPACE).cast(pa.string()), "word_spans": _spans(hit, p.first), "n_words": pa.array(p.counts(), pa.int64())})
+    return pa.table({**{c: docs[c] for c in others}, "text": W.without(text, hit, p, W.NOT_SPACE).cast(pa.string()), "word_spans": W.spans(hit, p.first), "n_words": pa.array(p.counts(), pa.int64())})
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
