@@ -6,20 +6,52 @@ all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from saleswh.llm import quality
+from saleswh.llm import decontaminate, packing, quality, simhash, substrings
 from saleswh.llm.queries import table
 from saleswh.llm.tables import ship, written
 
 
+def _measured(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like``, with ``n_chars`` of the text as it is now; no other column changes."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(like.columns) if "n_chars" in like.columns else docs.select(like.columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """The documents that the quality rules keep."""
     ship(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of SimHash links."""
+    ship(spark)
+    return simhash.representatives(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, less the words of windows that start in a document with a smaller id as well."""
+    ship(spark)
+    return _measured(substrings.deduplicated(docs), docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are not contaminated; what spans of items these have below the coverage limit go."""
+    ship(spark)
+    return _measured(decontaminate.cleaned(docs, table(spark, sf_dir, "benchmark")), docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces of sequences with their token ids."""
+    ship(spark)
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality rules", quality_rules), ("simhash near-dedup", near_dedup), ("substring dedup", substring_dedup),
+          ("benchmark decontamination", benchmark_decontamination), ("packing", pack)]
 
 #: Thresholds, fingerprints and packing are not expressible in SQL.
 ORACLE_SQL = None

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import decontaminate, quality, simhash, substrings
+from saleswh.llm import decontaminate, packing, quality, simhash, substrings
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,10 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.matched(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 1024 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
