@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import decontaminate, packing, quality, simhash, substrings
+from saleswh.llm import decontaminate, languages, packing, quality, simhash, substrings, tokens, urls
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,46 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 1024 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.counted(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+#: Fixed rules of the contract: verdict, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op5_url_filters"] = """
+WITH parts AS (
+  SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fitting AS (
+  SELECT parts.*, h || p AS rule, verdict, length(h || p) AS fit
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IS NOT NULL THEN verdict
+    WHEN regexp_matches('.' || host || path, '^[^/]*\\.ads[.-]|^[^/]*\\.adserver\\.|/ads/') THEN 'block' ELSE 'allow' END AS verdict
+FROM fitting QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY fit DESC) = 1
+"""
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    docs = table(spark, sf_dir, "documents")
+    model = languages.fit(docs.where(~held).select("text", "lang"))
+    return languages.predicted(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), model)
