@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import decontaminate, languages, packing, quality, simhash, substrings, tokens, urls
+from saleswh.llm import chat, decontaminate, html_text, languages, packing, quality, simhash, substrings, tokens, urls
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,40 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = languages.fit(docs.where(~held).select("text", "lang"))
     return languages.predicted(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), model)
+
+
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extracted(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant; the mask as start:length pairs."""
+    views = chat.rotated(table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["length"])), ",")
+    return views.select("conv_id", "participant", "part", "sub", "n_messages", "text", mask.alias("mask"))
+
+
+ORACLE_SQL["op2_chat_formatting"] = """
+WITH m AS (
+  SELECT DISTINCT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body
+  FROM conversations),
+who AS (SELECT DISTINCT conv_id, speaker AS participant FROM m WHERE speaker <> 'system'),
+s AS (
+  SELECT m.*, participant,
+    CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = participant THEN '<|assistant|>'
+      ELSE '<|user name=' || replace(speaker, '<|', '< |') || '|>' END || chr(10) AS head,
+    replace(body, '<|', '< |') || '<|end|>' AS tail
+  FROM m JOIN who ON m.conv_id IS NOT DISTINCT FROM who.conv_id),
+placed AS (
+  SELECT *, length(tail) AS size, length(head) + coalesce(sum(length(head) + length(tail) + 1) OVER (
+    PARTITION BY conv_id, participant, part ORDER BY turn, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM s)
+SELECT conv_id, participant, part, CAST(0 AS BIGINT) AS sub, count(*) AS n_messages,
+  string_agg(head || tail || chr(10), '' ORDER BY turn, speaker, body) AS text,
+  coalesce(string_agg(CAST(start AS BIGINT) || ':' || size, ',' ORDER BY turn, speaker, body) FILTER (WHERE speaker = participant), '') AS mask
+FROM placed GROUP BY conv_id, participant, part
+"""
