@@ -1,73 +1,93 @@
 """Snapshot commits for tables without a transactional format (§7.2).
 
-A table is a folder ``<root>/<name>/`` with immutable versions
-``v=<batch_id>/`` and a ``_CURRENT`` pointer file naming the live one.
-A commit writes the new version, then replaces the pointer by writing a
-temp file and renaming it (atomic on a file system; on an object store
-the same two steps map to a conditional put).  A version that already
-exists is never rewritten, so replaying a micro-batch is a no-op, and a
-plan never overwrites a path it reads.
+A table is a folder ``<root>/`` with immutable versions ``v=<version>/`` and
+a folder ``_published/`` of empty markers ``<number>,v=<version>``; the marker
+with the highest number names the live version.  A commit writes the new
+version, then creates its marker, which the store does in one step.  A commit
+that was stopped in between is finished by its replay: the data is there, so
+only the marker is created.  A version that is published already is never
+touched again, and a plan never overwrites a path it reads.
+
+All paths go through Spark's Hadoop FileSystem, so a root in any store that
+Spark reads works, and nothing touches the driver's own disk.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+from saleswh.session import checkpoint_dir, path_on
 
+PUBLISHED = "_published"
+#: Versions that stay: the live one and the one before it, which a plan may still be reading.
+KEPT_VERSIONS = 2
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, POINTER)
 
+def _published(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version folder) of every marker, in order of publication."""
+    fs, path = path_on(spark, f"{root}/{PUBLISHED}")
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName().partition(",") for s in fs.listStatus(path)]
+    return sorted((int(number), name) for number, _, name in names)
 
-def current_version(root: str) -> str | None:
-    p = _pointer(root)
-    if not os.path.exists(p):
-        return None
-    with open(p) as fh:
-        v = fh.read().strip()
-    return v or None
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    done = _published(spark, root)
+    return done[-1][1] if done else None
 
 
 def read_table(spark: SparkSession, root: str, empty: DataFrame | None = None) -> DataFrame | None:
-    v = current_version(root)
+    v = current_version(spark, root)
     if v is None:
         return empty
-    return spark.read.parquet(os.path.join(root, v))
+    return spark.read.parquet(f"{root}/{v}")
 
 
 def commit(df: DataFrame, root: str, version: int | str, partition_by: list[str] | None = None) -> bool:
-    """Write ``df`` as version ``version`` and publish it; False if it already existed."""
-    name = f"v={version}"
-    path = os.path.join(root, name)
-    if os.path.exists(os.path.join(path, "_SUCCESS")):
+    """Write ``df`` as version ``version`` and publish it; False if it was published before."""
+    spark, name = df.sparkSession, f"v={version}"
+    done = _published(spark, root)
+    if name in (v for _, v in done):
         return False
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    os.makedirs(root, exist_ok=True)
-    tmp = _pointer(root) + ".tmp"
-    with open(tmp, "w") as fh:
-        fh.write(name)
-    os.replace(tmp, _pointer(root))
+    fs, success = path_on(spark, f"{root}/{name}/_SUCCESS")
+    if not fs.exists(success):
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(f"{root}/{name}")
+    number = done[-1][0] + 1 if done else 0
+    fs, marker = path_on(spark, f"{root}/{PUBLISHED}/{number:012d},{name}")
+    fs.create(marker, False).close()
+    for _, old in done[:1 - KEPT_VERSIONS]:
+        fs, path = path_on(spark, f"{root}/{old}")
+        fs.delete(path, True)
     return True
 
 
+def _materialized(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/materialized/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table in the shared
     checkpoint folder (``spark.checkpoint.dir``) and reading it back.
 
     Unlike ``checkpoint()`` the re-read is a parquet scan, so later plans
     keep column pruning and filter pushdown on it.  The folder survives
-    executor loss (it is the cluster's shared checkpoint location).
+    executor loss (it is the cluster's shared checkpoint location); it is
+    the application's own, and ``drop_materialized`` deletes it when all
+    results have been stored.
     """
-    import uuid
-
-    from saleswh.session import checkpoint_dir
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "materialized", f"{label}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    path = f"{_materialized(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete this application's materialised tables."""
+    fs, path = path_on(spark, _materialized(spark))
+    fs.delete(path, True)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.functions.sap import any_changed, fingerprint, quarantine_key
@@ -73,15 +73,14 @@ def with_sentinel(dim: DataFrame, sentinel: DataFrame, key: str) -> DataFrame:
     return merge_insert(dim, sentinel, [key])
 
 
-def assign_keys(new_rows: DataFrame, max_key: int | Column, order: Sequence[str],
-                name: str) -> DataFrame:
-    """M8: identity replacement, ``max_key + dense rank`` over the new rows only."""
-    return surrogate(new_rows, order, name, start=max_key)
+def assign_keys(new_rows: DataFrame, tgt: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
+    """M8: identity replacement, ``max(name) of tgt + dense rank`` over the new rows only.
 
-
-def max_key(df: DataFrame, name: str) -> Column:
-    """Scalar subquery-free max key: one-row aggregate used as a literal column."""
-    return F.coalesce(F.max(name), F.lit(0))
+    The maximum is a one-row aggregate; its value is read once, before the
+    new rows are numbered from it.
+    """
+    top = tgt.agg(F.max(name)).first()[0] or 0
+    return surrogate(new_rows, order, name, start=top)
 
 
 def scd2(tgt: DataFrame, src: DataFrame, key: str, attrs: Sequence[str], as_of: str,
@@ -133,9 +132,7 @@ def scd2(tgt: DataFrame, src: DataFrame, key: str, attrs: Sequence[str], as_of:
     vf_expr = F.coalesce(F.col(valid_from_col), ts) if valid_from_col else ts
     ins = new.select(*payload_cols, vf_expr.alias(vf), end.alias(vt), F.lit(True).alias(cur))
     if sk:
-        mk = tgt.agg(F.coalesce(F.max(sk), F.lit(0)).alias("_mk"))
-        ins = assign_keys(ins, F.lit(0), [key], "_rank").crossJoin(F.broadcast(mk))
-        ins = ins.withColumn(sk, (F.col("_mk") + F.col("_rank")).cast("bigint")).drop("_mk", "_rank")
+        ins = assign_keys(ins, tgt, sk, [key])
     for n, f in zip(tgt.columns, tgt.schema.fields):
         if n not in ins.columns:
             ins = ins.withColumn(n, F.lit(None).cast(f.dataType))

@@ -12,19 +12,20 @@ Design notes for scale:
   key is what AQE's skew-join splitting needs.
 * W3 ``partition_sum`` is ``groupBy + join`` for the same reason.
 * W4 ``surrogate`` numbers rows by a global order without a single-task
-  window: range partitioning + per-partition offsets (a tiny table with
-  one row per partition).
+  window: one range-partitioned copy in the shared folder, and per-partition
+  offsets from that copy (a tiny table with one row per partition).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from saleswh.operators.sizing import fits
+from saleswh.operators.commit import materialize
 
 
 def _names(cols) -> list[str]:
@@ -56,12 +57,6 @@ def latest(df: DataFrame, keys, order: Sequence[str], tiebreak: Sequence[str] |
     return picked.select(*sel).select(*df.columns)
 
 
-def latest_window(df: DataFrame, keys, order: Sequence[Column]) -> DataFrame:
-    """W1, window form, for callers that need the rank column semantics."""
-    w = Window.partitionBy(*_names(keys)).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def duplicates(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """Every copy of a key beyond the first (first = smallest ``order``).
 
@@ -92,36 +87,29 @@ def partition_sum(df: DataFrame, keys, value: str, alias: str) -> DataFrame:
     return df.join(sums, keys, "left")
 
 
-def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int | Column = 0,
+def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 0,
               partitions: int | None = None) -> DataFrame:
     """Dense numbers ``start+1, start+2, ...`` in the global ``order``.
 
-    Range-partition on the order, number rows inside each partition, and
-    add the count of all earlier partitions.  The offsets table has one row
-    per partition, so it is broadcast without risk; no task ever holds more
-    than its own range.
+    The frame is range-partitioned once, and written once with its partition
+    and its place in it; the counts and the rows both come from these files.
+    (Two plans of one range exchange would each sample bounds of their own,
+    and the offsets would belong to other partitions than the rows.)  The
+    order is made total by all other sortable columns, so a row's number does
+    not depend on how the frame was split.  The offsets have one row per
+    partition, so they are broadcast without risk, and no task ever holds
+    more than its own range.
     """
-    order = list(order)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id()))
+    total = list(order) + [f.name for f in df.schema if f.name not in order and not isinstance(f.dataType, (MapType, VariantType))]
+    ranged = materialize(df.repartitionByRange(n, *total).sortWithinPartitions(*total)
+                           .withColumn("_pid", F.spark_partition_id())
+                           .withColumn("_mid", F.monotonically_increasing_id()), name)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    base = start if isinstance(start, Column) else F.lit(start)
-    out = (ranged.join(F.broadcast(offsets), "_pid")
-                 .withColumn(name, (base + F.col("_off") + local + 1).cast("bigint"))
-                 .drop("_pid", "_mid", "_off"))
-    return out
-
-
-def surrogate_small(df: DataFrame, order: Sequence[str], name: str, start: int = 0,
-                    max_rows: int = 1_000_000) -> DataFrame:
-    """W4 for frames proven small: plain ``row_number`` over the order."""
-    if not fits(df, max_rows):
-        return surrogate(df, order, name, start)
-    w = Window.orderBy(*order)
-    return df.withColumn(name, (F.row_number().over(w) + start).cast("bigint"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+                  .withColumn(name, (F.lit(start) + F.col("_off") + local + 1).cast("bigint"))
+                  .drop("_pid", "_mid", "_off"))

@@ -7,7 +7,6 @@ which is the local/test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -76,18 +75,25 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and committed tables.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (local tests) a fresh scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``.  Where it is unset, a local master
+    gets a fresh scratch folder; on a cluster that is an error, as every
+    executor would write to its own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="saleswh-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
+
+
+def path_on(spark: SparkSession, path: str):
+    """(file system, path) of a path in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never machine-local on a cluster)."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, *parts)
+    return "/".join([checkpoint_dir(spark), *parts])
