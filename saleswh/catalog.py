@@ -40,12 +40,7 @@ def query(name: str, ids: str = "", sql: str | None = None):
 
 
 def load_all() -> dict[str, Entry]:
-    # importing the modules registers their queries
-    from saleswh.plans import queries_batch  # noqa: F401
-    for mod in ("queries_dq", "queries_stream", "queries_analytics", "queries_sources"):
-        try:
-            __import__(f"saleswh.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != f"saleswh.plans.{mod}":
-                raise
+    """Every registered query; importing the modules registers them."""
+    from saleswh.plans import (queries_analytics, queries_batch, queries_dq, queries_sources,  # noqa: F401
+                               queries_stream)
     return REGISTRY

@@ -31,34 +31,25 @@ def merge_upsert(tgt: DataFrame, src: DataFrame, keys, update: Sequence[str] | N
     one row per key (callers dedup with W1 first).  NULL keys never match,
     as in SQL.  Output has the target's columns.
 
-    Plan: untouched target rows are ``tgt LEFT ANTI src``; matched rows are
-    the source row (full update) or ``tgt JOIN src`` with per-column picks
-    (partial update); inserts are ``src LEFT ANTI tgt``.  Every join is an
-    equi-join on the natural key (one shuffle per side, reused across the
-    three joins by exchange reuse).
+    Plan: one full outer equi-join on the natural key (one shuffle per side);
+    each output column picks its side by which of the two rows is there.
     """
     keys = _names(keys)
     cols = tgt.columns
     types = {f.name: f.dataType for f in tgt.schema.fields}
-    upd = [c for c in cols if c not in keys] if update is None else list(update)
-    s = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(types[c]).alias(c) for c in cols])
-    skeys = s.select(*keys)
-    kept = tgt.join(skeys, keys, "left_anti")
-    if set(upd) >= set(c for c in cols if c not in keys):
-        matched_or_new = s if insert else s.join(tgt.select(*keys), keys, "left_semi")
-        return kept.unionByName(matched_or_new)
-    t = tgt.alias("t")
-    sa = s.alias("s")
-    cond = None
+    upd = {c for c in cols if c not in keys} if update is None else set(update)
+    s = src.select(*[(F.col(c) if c in src.columns else F.lit(None)).cast(types[c]).alias(f"_s_{c}") for c in cols],
+                   F.lit(True).alias("_src"))
+    cond = F.lit(True)
     for k in keys:
-        e = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = e if cond is None else cond & e
-    matched = t.join(sa, cond).select(*[
-        (F.col(f"s.{c}") if c in upd else F.col(f"t.{c}")).alias(c) for c in cols])
-    out = kept.unionByName(matched)
-    if insert:
-        out = out.unionByName(s.join(tgt.select(*keys), keys, "left_anti"))
-    return out
+        cond = cond & (F.col(k) == F.col(f"_s_{k}"))
+    j = tgt.withColumn("_tgt", F.lit(True)).join(s, cond, "full_outer")
+    if not insert:
+        j = j.where("_tgt")
+    both = F.col("_tgt").isNotNull() & F.col("_src").isNotNull()
+    return j.select(*[
+        F.when(F.col("_tgt").isNull() | (both if c in upd else F.lit(False)), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
+        for c in cols])
 
 
 def merge_insert(tgt: DataFrame, src: DataFrame, keys) -> DataFrame:

@@ -7,10 +7,10 @@ Design notes for scale:
   aggregate collapses every key to one row per map task *before* the
   shuffle, so a key holding a third of all rows costs one row per task
   downstream instead of one giant sort in one task.
-* W2 ``duplicates`` counts identical rows and first rows with partial
-  aggregates and joins them back on the key; the side with one row per
-  key is what AQE's skew-join splitting needs.
-* W3 ``partition_sum`` is ``groupBy + join`` for the same reason.
+* W2 ``duplicates`` finds first rows with a partial aggregate and joins
+  them back on the key; the side with one row per key is what AQE's
+  skew-join splitting needs.  W3 (order totals in ``plans/silver``) is
+  ``groupBy + join`` for the same reason.
 * W4 ``surrogate`` numbers rows by a global order without a single-task
   window: one range-partitioned copy in the shared folder, and per-partition
   offsets from that copy (a tiny table with one row per partition).
@@ -61,30 +61,23 @@ def duplicates(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """Every copy of a key beyond the first (first = smallest ``order``).
 
     Same result as ``COUNT(*) OVER k > 1 AND ROW_NUMBER() OVER (k ORDER BY
-    order) > 1`` with a total tie-break over all columns.
+    order) > 1`` with a total tie-break over all columns; NULL keys are a
+    group like any other, as in a window.  The rows are written once with an
+    id, so the first of identical copies is one row and not all of them; the
+    first rows are a partial aggregate, and each copy is one joined row.
     """
     keys = _names(keys)
     cols = df.columns
-    order = list(order)
-    rest = [c for c in cols if c not in keys and c not in order]
-    ordered = order + rest
-    first = (df.groupBy(*keys)
-               .agg(F.min(F.struct(*[F.col(c) for c in ordered])).alias("_first"),
-                    F.count(F.lit(1)).alias("_n"))
-               .where("_n > 1").drop("_n"))
-    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
-    j = copies.join(first, keys)
-    is_first = F.struct(*[F.col(c) for c in ordered]).eqNullSafe(F.col("_first"))
-    j = j.withColumn("_k", F.col("_c") - F.when(is_first, 1).otherwise(0)).where("_k > 0")
-    return (j.select(*cols, F.explode(F.array_repeat(F.lit(0), F.col("_k").cast("int"))).alias("_x"))
-             .drop("_x"))
-
-
-def partition_sum(df: DataFrame, keys, value: str, alias: str) -> DataFrame:
-    """``sum(value) over (partition by keys)`` as partial agg + join back."""
-    keys = _names(keys)
-    sums = df.groupBy(*keys).agg(F.sum(value).alias(alias))
-    return df.join(sums, keys, "left")
+    ordered = list(order) + [c for c in cols if c not in keys and c not in order]
+    rows = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "duplicates")
+    first = (rows.groupBy(*keys)
+                 .agg(F.min(F.struct(*[F.col(c) for c in ordered], F.col("_rid"))).alias("_first"),
+                      F.count(F.lit(1)).alias("_n"))
+                 .where("_n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_first._rid").alias("_first")))
+    same = F.lit(True)
+    for k in keys:
+        same = same & rows[k].eqNullSafe(first[f"_k_{k}"])
+    return rows.join(first, same).where(F.col("_rid") != F.col("_first")).select(*cols)
 
 
 def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 0,

@@ -4,6 +4,8 @@ The reference calls closed warehouse models; only their inputs and
 outputs are fixed.  Our definitions are built from distributed aggregates
 so they scale and have an SQL twin:
 
+* the daily series (one row per series and day) is written once, and so is
+  the fitted model, so the base tables are read once.
 * forecast: per series ``y ~ a + b*t`` (``regr_intercept/regr_slope``, t in
   days) plus the mean residual per ISO weekday; bounds = +- z * stddev of
   the remaining residuals.  Per-series parameters are a small aggregate
@@ -21,6 +23,9 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saleswh.functions.sap import since_days
+from saleswh.operators.commit import materialize
+
 EPOCH = "1970-01-01"
 
 # Sentiment lexicon (our choice; the reference's model is closed).
@@ -35,7 +40,8 @@ CATEGORIES = [
     ("Facturación", ["invoice", "billing", "price", "charge", "payment", "paid", "refund"]),
     ("Elogio", ["excellent", "great", "thanks", "happy", "good", "satisfied", "love"]),
 ]
-TOKEN_SPLIT = "[^a-z]+"
+#: Words are runs of letters of any script.
+TOKEN_SPLIT = "[^\\p{L}]+"
 SENTENCE_SPLIT = "[.!?]+"
 
 
@@ -57,12 +63,13 @@ def fit(df: DataFrame, series: str, ts: str, y: str) -> DataFrame:
     wd = r.groupBy("_s", "_dow").agg(F.avg("_r").alias("_wd"))
     r2 = r.join(wd, ["_s", "_dow"]).withColumn("_e", F.col("_r") - F.col("_wd"))
     sig = r2.groupBy("_s").agg(F.stddev_samp("_e").alias("_sigma"))
-    return trend.join(sig, "_s").join(wd, "_s", "left")
+    # one row per series and weekday: written once, as the callers read it several times
+    return materialize(trend.join(sig, "_s").join(wd, "_s", "left"), "series_model")
 
 
 def forecast(df: DataFrame, series: str, ts: str, y: str, periods: int = 90, z: float = 1.96) -> DataFrame:
     """SERIES, TS, FORECAST, LOWER_BOUND, UPPER_BOUND (rounded to 0)."""
-    m = fit(df, series, ts, y)
+    m = fit(materialize(df, "daily_series"), series, ts, y)
     params = m.select("_s", "_a", "_b", "_last", "_sigma").distinct()
     hz = params.select("_s", "_a", "_b", "_sigma",
                        F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", periods))).alias("TS"))
@@ -78,10 +85,9 @@ def forecast(df: DataFrame, series: str, ts: str, y: str, periods: int = 90, z:
 def detect_anomalies(df: DataFrame, series: str, ts: str, y: str, as_of: str, days: int = 60,
                      z: float = 2.576) -> DataFrame:
     """Score the last ``days`` before ``as_of`` with a model fitted strictly before them."""
-    start = F.date_sub(F.lit(as_of).cast("date"), days)
-    d = df.withColumn("_d", F.col(ts).cast("date"))
-    train = d.where(F.col("_d") < start)
-    window = d.where((F.col("_d") >= start) & (F.col("_d") <= F.lit(as_of).cast("date")))
+    d = materialize(df.withColumn("_d", F.col(ts).cast("date")), "daily_series")
+    train = d.where(~since_days("_d", as_of, days))
+    window = d.where(since_days("_d", as_of, days) & (F.col("_d") <= F.lit(as_of).cast("date")))
     m = fit(train, series, "_d", y)
     w = (window.select(F.col(series).alias("_s"), F.col("_d").alias("TS"), F.col(y).cast("double").alias("Y"))
                .withColumn("_dow", F.weekday("TS") + 1))
@@ -96,6 +102,8 @@ def top_drivers(df: DataFrame, dims: list[str], label: str, metric: str, k: int
     """D3: segments (single dims and pairs) ranked by |relative change| current vs previous."""
     sets = [(d,) for d in dims] + list(combinations(dims, 2))
     spark = df.sparkSession
+    # sums are decomposable: aggregate to the dimensions and the period before the sets expand the rows
+    df = df.groupBy(*dims, label).agg(F.sum(metric).alias(metric))
     df.createOrReplaceTempView("_drivers_input")
     gs = ", ".join("(" + ", ".join(s) + ")" for s in sets)
     cols = ", ".join(dims)
@@ -144,15 +152,22 @@ def classify(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def summarize(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Extractive summary = the sentence with the highest mean in-document term frequency."""
+    """Extractive summary = the sentence whose words are the most frequent in the document, on average.
+
+    Ties go to the first sentence.  Every document comes back: without any
+    word of letters its first sentence with text is the summary, and without
+    such a sentence the summary is NULL.
+    """
     sent = df.select(id_col, F.posexplode(F.split(F.col(text), SENTENCE_SPLIT)).alias("_pos", "_sent"))
     sent = sent.where(F.trim("_sent") != "")
     words = sent.select(id_col, "_pos", F.explode(F.split(F.lower("_sent"), TOKEN_SPLIT)).alias("_w")).where("_w <> ''")
-    tf = words.groupBy(id_col, "_w").agg(F.count(F.lit(1)).alias("_tf"))
-    score = words.join(tf, [id_col, "_w"]).groupBy(id_col, "_pos").agg(F.avg("_tf").alias("_score"))
-    best = score.groupBy(id_col).agg(F.max(F.struct("_score", (-F.col("_pos")).alias("_np"))).alias("_b"))
-    pick = best.select(id_col, (-F.col("_b._np")).alias("_pos"))
-    return pick.join(sent, [id_col, "_pos"]).select(id_col, F.trim("_sent").alias("RESUMEN"))
+    counts = words.groupBy(id_col, "_pos", "_w").agg(F.count(F.lit(1)).alias("_n"))
+    tf = counts.groupBy(id_col, "_w").agg(F.sum("_n").alias("_tf"))
+    score = counts.join(tf, [id_col, "_w"]).groupBy(id_col, "_pos").agg((F.sum(F.col("_n") * F.col("_tf")) / F.sum("_n")).alias("_score"))
+    rated = sent.join(score, [id_col, "_pos"], "left")
+    best = rated.groupBy(id_col).agg(F.max(F.struct(F.coalesce("_score", F.lit(0.0)).alias("_score"), (-F.col("_pos")).alias("_np"),
+                                                    F.trim("_sent").alias("_sent"))).alias("_b"))
+    return df.select(id_col).join(best, id_col, "left").select(id_col, F.col("_b._sent").alias("RESUMEN"))
 
 
 def complaint_digest(scored: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Batch data-quality catalogue (Q11-Q21), quarantine and audit.
 
-Each rule is a DataFrame of quarantine rows; ``run_dq_checks`` unions them
-(a record may appear under several rules).  The uniqueness rule uses the
-skew-safe ``duplicates`` operator; the cross-consistency rule compares
-billing with *collapsed* order quantities, so a key with many copies on
-both sides emits its matching pairs by count instead of enumerating them.
+``run_dq_checks`` unions the rules' quarantine rows (a record may appear
+under several rules).  The rules that look at one row only share one pass
+(``rule_rows``); the uniqueness rule uses the skew-safe ``duplicates``
+operator; the cross-consistency rule compares each billing row with the
+smallest ordered quantity of its key, so it is quarantined once however many
+copies its order has.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saleswh.functions.sap import TAX_ID_RE, payload, quarantine_key
+from saleswh.operators.merge import merge_insert
 from saleswh.operators.windows import duplicates
 from saleswh.plans.warehouse import Warehouse, current
 
@@ -39,10 +41,11 @@ def dq_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DQ_RULES, DQ_RULES_SCHEMA)
 
 
-def _quarantine(df: DataFrame, rule_id: int, source: str, key, detected_at: str) -> DataFrame:
-    """Q10 (batch form): rule id, source table, record key, whole-row JSON payload."""
-    return df.select(F.lit(rule_id).alias("RULE_ID"), F.lit(source).alias("SOURCE_TABLE"),
-                     key.alias("RECORD_KEY"), payload(*df.columns).alias("RECORD_PAYLOAD"),
+def _quarantine(df: DataFrame, rule_id: int | F.Column, source: str, key, detected_at: str) -> DataFrame:
+    """Q10 (batch form): rule id, source table, record key, whole-row JSON payload (columns with ``_RULE`` are ours)."""
+    rule = F.lit(rule_id) if isinstance(rule_id, int) else rule_id
+    return df.select(rule.alias("RULE_ID"), F.lit(source).alias("SOURCE_TABLE"),
+                     key.alias("RECORD_KEY"), payload(*[c for c in df.columns if c != "_RULE"]).alias("RECORD_PAYLOAD"),
                      F.lit(detected_at).cast("timestamp").alias("DETECTED_AT"),
                      F.lit(PENDING).alias("STATUS"))
 
@@ -51,9 +54,17 @@ def _order_key(prefix: str = "") -> F.Column:
     return F.concat(F.col(f"{prefix}ORDER_ID"), F.lit("-"), F.col(f"{prefix}ITEM_NO"))
 
 
-def rule_mandatory(stg: DataFrame, col: str, rule_id: int, as_of: str) -> DataFrame:
-    """Q12/Q13: mandatory column."""
-    return _quarantine(stg.where(F.col(col).isNull()), rule_id, "STG_SALES_ORDERS", _order_key(), as_of)
+def rule_rows(stg: DataFrame, as_of: str) -> DataFrame:
+    """Q12, Q13, Q16 in one pass: order date and amount are mandatory, quantity lies in 0..100000 (NULL passes).
+
+    Each row gets the ids of the rules it fails; one quarantine row for each.
+    """
+    q = F.col("QUANTITY")
+    failed = F.array_compact(F.array(
+        F.when(F.col("ORDER_DATE").isNull(), 1), F.when(F.col("NET_AMOUNT").isNull(), 2),
+        F.when((q < QTY_MIN) | (q > QTY_MAX), 5)))
+    bad = stg.select("*", F.explode(failed).alias("_RULE"))
+    return _quarantine(bad, F.col("_RULE"), "STG_SALES_ORDERS", _order_key(), as_of)
 
 
 def rule_unique(stg: DataFrame, as_of: str) -> DataFrame:
@@ -69,13 +80,6 @@ def rule_fk(stg: DataFrame, dim_customer: DataFrame, as_of: str) -> DataFrame:
     return _quarantine(orphans, 4, "STG_SALES_ORDERS", _order_key(), as_of)
 
 
-def rule_range(stg: DataFrame, as_of: str) -> DataFrame:
-    """Q16: quantity outside 0..100000 (NULL passes)."""
-    q = F.col("QUANTITY")
-    bad = stg.where(q.isNotNull() & ~q.between(QTY_MIN, QTY_MAX))
-    return _quarantine(bad, 5, "STG_SALES_ORDERS", _order_key(), as_of)
-
-
 def rule_format(stg_customers: DataFrame, as_of: str) -> DataFrame:
     """Q17: tax id must be 11 digits; NULL fails."""
     t = F.col("TAX_ID")
@@ -84,21 +88,16 @@ def rule_format(stg_customers: DataFrame, as_of: str) -> DataFrame:
 
 
 def cross_check(billing: DataFrame, orders: DataFrame, tol: float = CROSS_TOLERANCE) -> DataFrame:
-    """Billing rows whose quantity exceeds an ordered quantity x tol on equal keys.
+    """Billing rows whose quantity exceeds an ordered quantity x tol on equal keys; each billing row once.
 
-    One output row per matching (billing row, order row) pair, as the SQL
-    join does.  Identical billing rows and equal order quantities are
-    collapsed to counts first and re-expanded after the filter, so hot keys
-    cost distinct values, not pairs.
+    A row exceeds some ordered quantity if it exceeds the smallest of its
+    key, so the orders come as one aggregated row per key and the join can
+    neither multiply rows nor pair up copies.
     """
-    b = billing.groupBy(*billing.columns).agg(F.count(F.lit(1)).alias("_bn"))
-    o = (orders.groupBy(F.col("ORDER_ID").alias("_oid"), F.col("ITEM_NO").alias("_oit"),
-                        F.col("QUANTITY").alias("_oq"))
-               .agg(F.count(F.lit(1)).alias("_on")))
-    j = b.join(o, (b.REF_ORDER_ID == o._oid) & (b.ITEM_NO == o._oit))
-    j = j.where(F.col("QUANTITY") > F.col("_oq") * F.lit(tol).cast("decimal(3,2)"))
-    n = (F.col("_bn") * F.col("_on")).cast("int")
-    return j.select(*billing.columns, F.explode(F.array_repeat(F.lit(0), n)).alias("_x")).drop("_x")
+    o = (orders.groupBy(F.col("ORDER_ID").alias("_oid"), F.col("ITEM_NO").alias("_oit"))
+               .agg(F.min("QUANTITY").alias("_oq")))
+    j = billing.join(o, (billing.REF_ORDER_ID == o._oid) & (billing.ITEM_NO == o._oit))
+    return j.where(F.col("QUANTITY") > F.col("_oq") * F.lit(tol).cast("decimal(3,2)")).select(*billing.columns)
 
 
 def rule_cross(stg_billing: DataFrame, stg_orders: DataFrame, as_of: str) -> DataFrame:
@@ -111,12 +110,10 @@ def rule_cross(stg_billing: DataFrame, stg_orders: DataFrame, as_of: str) -> Dat
 def run_dq_checks(wh: Warehouse, as_of: str | None = None) -> DataFrame:
     """Q19: the whole catalogue as one quarantine frame (status PENDIENTE)."""
     as_of = as_of or wh.as_of
-    so = wh.stg_sales_orders
-    parts = [rule_mandatory(so, "ORDER_DATE", 1, as_of),
-             rule_mandatory(so, "NET_AMOUNT", 2, as_of),
+    so = wh.committed_sales_orders
+    parts = [rule_rows(so, as_of),
              rule_unique(so, as_of),
              rule_fk(so, wh.dim_customer, as_of),
-             rule_range(so, as_of),
              rule_format(wh.stg_customers, as_of),
              rule_cross(wh.stg_billing, so, as_of)]
     out = parts[0]
@@ -132,6 +129,13 @@ def with_quarantine_id(q: DataFrame) -> DataFrame:
                                                         F.col("RECORD_PAYLOAD")))
 
 
+def merge_quarantine_batch(known: DataFrame, found: DataFrame) -> DataFrame:
+    """§2.12 no. 16, batch form: a record already in quarantine under a rule stays as it was found first; only
+    new (source, key, rule, payload) identities are added, each once."""
+    new = with_quarantine_id(found).dropDuplicates(["QUARANTINE_ID"])
+    return merge_insert(known, new.select(*known.columns), ["QUARANTINE_ID"])
+
+
 def dq_dashboard(rules: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Per rule the affected rows and last detection; 0-hit rules kept."""
     q = quarantine.groupBy("RULE_ID").agg(F.count(F.lit(1)).alias("_n"),

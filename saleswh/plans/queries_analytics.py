@@ -114,10 +114,10 @@ def _kw_sql() -> str:
 
 
 CTES["complaints"] = """
-SELECT doc_id AS RECLAMO_ID, text AS TEXTO FROM documents WHERE lang = 'en'
+SELECT doc_id AS RECLAMO_ID, text AS TEXTO FROM documents
 """
 CTES["complaint_tokens"] = """
-SELECT RECLAMO_ID, w FROM (SELECT RECLAMO_ID, unnest(regexp_split_to_array(lower(TEXTO), '[^a-z]+')) AS w
+SELECT RECLAMO_ID, w FROM (SELECT RECLAMO_ID, unnest(regexp_split_to_array(lower(TEXTO), '[^\\p{L}]+')) AS w
                            FROM complaints) WHERE w <> ''
 """
 CTES["lexicon"] = _lex_sql()
@@ -145,7 +145,7 @@ def _scored(spark, sf_dir):
 @query("complaints_analyzed", "D4,D5", with_ctes("""
 SELECT CAST(RECLAMO_ID AS BIGINT) AS RECLAMO_ID, SENTIMIENTO, CATEGORIA FROM complaints_scored"""))
 def q_complaints_analyzed(spark, sf_dir):
-    """Sentiment (-1..1) and category of every English document (whole texts)."""
+    """Sentiment (-1..1) and category of every document (whole texts)."""
     return _scored(spark, sf_dir)
 
 
@@ -158,9 +158,31 @@ def q_complaint_digest(spark, sf_dir):
     return analytics.complaint_digest(_scored(spark, sf_dir))
 
 
-@query("complaint_summaries", "D6")
+CTES["complaint_sentences"] = """
+SELECT RECLAMO_ID, pos, sentence FROM (
+  SELECT RECLAMO_ID, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS pos
+  FROM (SELECT RECLAMO_ID, regexp_split_to_array(TEXTO, '[.!?]+') AS parts FROM complaints))
+WHERE trim(sentence) <> ''
+"""
+CTES["sentence_words"] = """
+SELECT RECLAMO_ID, pos, w, count(*) AS n FROM (
+  SELECT RECLAMO_ID, pos, unnest(regexp_split_to_array(lower(sentence), '[^\\p{L}]+')) AS w FROM complaint_sentences)
+WHERE w <> '' GROUP BY ALL
+"""
+
+
+@query("complaint_summaries", "D6", with_ctes("""
+WITH rated AS (
+  SELECT RECLAMO_ID, pos, CAST(sum(n * tf) AS DOUBLE) / sum(n) AS score
+  FROM sentence_words JOIN (SELECT RECLAMO_ID, w, sum(n) AS tf FROM sentence_words GROUP BY ALL) USING (RECLAMO_ID, w)
+  GROUP BY ALL),
+best AS (
+  SELECT s.RECLAMO_ID, trim(s.sentence) AS RESUMEN
+  FROM complaint_sentences s LEFT JOIN rated r ON r.RECLAMO_ID = s.RECLAMO_ID AND r.pos = s.pos
+  QUALIFY row_number() OVER (PARTITION BY s.RECLAMO_ID ORDER BY coalesce(r.score, 0) DESC, s.pos) = 1)
+SELECT CAST(c.RECLAMO_ID AS BIGINT) AS RECLAMO_ID, best.RESUMEN FROM complaints c LEFT JOIN best USING (RECLAMO_ID)"""))
 def q_complaint_summaries(spark, sf_dir):
-    """Extractive one-sentence summary per English document (rows-only check)."""
+    """Extractive one-sentence summary of every document."""
     c = bridge.complaints(spark, sf_dir).select("RECLAMO_ID", "TEXTO")
     return analytics.summarize(c, "RECLAMO_ID", "TEXTO")
 

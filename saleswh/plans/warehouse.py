@@ -23,8 +23,6 @@ from saleswh.sources import bridge
 # Parameters (the reference anchors on today; we anchor on a parameter).
 AS_OF = "2001-09-01"
 LOAD_TS = "2002-01-01 00:00:00"
-CAL_START = "1992-01-01"
-CAL_END = "2002-12-31"
 OPEN_END = "9999-12-31 00:00:00"
 DIM_BROADCAST_ROWS = 2_000_000
 
@@ -46,7 +44,7 @@ def dim_date(spark: SparkSession, start: str = "2015-01-01", end: str = "2035-12
     return sent.unionByName(cal)
 
 
-def dim_date_iso(spark: SparkSession, start: str = CAL_START, end: str = CAL_END) -> DataFrame:
+def dim_date_iso(spark: SparkSession, start: str, end: str) -> DataFrame:
     """D-2: calendar with ISO week, ISO weekday and weekend flag (batch branch)."""
     d = F.col("d")
     dow = F.weekday(d) + 1
@@ -116,12 +114,17 @@ def fact_sales_orders_src(stg: DataFrame, dim_customer: DataFrame, dim_product:
                     "_LOADED_AT")
 
 
-def fact_billing_src(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """D-10 source: dated rows, latest per (billing, item)."""
+def billing_rows(stg: DataFrame) -> DataFrame:
+    """D-10: dated rows, latest per (billing, item), before any lookup."""
     s = latest(stg.where(F.col("BILLING_DATE").isNotNull()), ["BILLING_ID", "ITEM_NO"], ["_LOADED_AT"])
+    return s.withColumn("DATE_SK", date_key("BILLING_DATE", None).cast("bigint"))
+
+
+def fact_billing_src(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """D-10 source: dated rows, latest per (billing, item), with the dimension keys."""
     c = small(current(dim_customer).select("CUSTOMER_ID", "CUSTOMER_SK"), DIM_BROADCAST_ROWS)
     p = small(current(dim_product).select("PRODUCT_ID", "PRODUCT_SK"), DIM_BROADCAST_ROWS)
-    j = s.join(c, "CUSTOMER_ID", "left").join(p, "PRODUCT_ID", "left")
+    j = billing_rows(stg).drop("DATE_SK").join(c, "CUSTOMER_ID", "left").join(p, "PRODUCT_ID", "left")
     return j.select("BILLING_ID", "ITEM_NO", date_key("BILLING_DATE", None).cast("bigint").alias("DATE_SK"),
                     "CUSTOMER_SK", "PRODUCT_SK", "SALES_ORG_ID", "QUANTITY", "NET_AMOUNT", "CURRENCY",
                     "REF_ORDER_ID", "_LOADED_AT")
@@ -136,12 +139,17 @@ ORDER_UPDATE = ["DATE_SK", "CUSTOMER_SK", "PRODUCT_SK", "SALES_ORG_SK", "QUANTIT
 class Warehouse:
     """Lazy bundle of the batch branch for one input folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF,
-                 cal_start: str = CAL_START, cal_end: str = CAL_END, commit_tables: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, commit_tables: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
-        self.cal_start, self.cal_end = cal_start, cal_end
         self.commit_tables = commit_tables
 
+    @cached_property
+    def calendar_span(self) -> tuple[str, str]:
+        """First and last day of the years that the orders' dates span, and one year more for what is billed later:
+        no dated fact row lies outside, whatever the data."""
+        low, high = bridge.order_dates(self.spark, self.sf_dir)
+        return f"{low.year}-01-01", f"{high.year + 1}-12-31"
+
     # RAW
     @cached_property
     def raw_sales_orders(self):
@@ -170,8 +178,12 @@ class Warehouse:
     # STAGING
     @cached_property
     def stg_sales_orders(self):
-        # read by several DQ rules and the fact: committed once
-        return self._commit(staging.stg_sales_orders(self.raw_sales_orders), "stg_sales_orders")
+        return staging.stg_sales_orders(self.raw_sales_orders)
+
+    @cached_property
+    def committed_sales_orders(self):
+        """Staging orders written once, for plans that read them several times (DQ rules, audit)."""
+        return self._commit(self.stg_sales_orders, "stg_sales_orders")
 
     @cached_property
     def stg_billing(self):
@@ -204,7 +216,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self):
-        return dim_date_iso(self.spark, self.cal_start, self.cal_end)
+        return dim_date_iso(self.spark, *self.calendar_span)
 
     @cached_property
     def dim_customer(self):
@@ -236,13 +248,25 @@ class Warehouse:
         return self.stg_budget.select("BUDGET_YEAR", "BUDGET_MONTH", "SALES_ORG_ID", "PRODUCT_LINE",
                                       "BUDGET_AMOUNT")
 
-    def rerun_fact_sales_orders(self) -> DataFrame:
-        """M1: second MERGE of the same source into the loaded fact (idempotent)."""
-        src = fact_sales_orders_src(self.stg_sales_orders, self.dim_customer, self.dim_product,
-                                    self.dim_sales_org)
-        return merge_upsert(self.fact_sales_orders, src, ["ORDER_ID", "ITEM_NO"], update=ORDER_UPDATE)
-
-    def rerun_fact_billing(self) -> DataFrame:
-        """M2: billing re-delivery updates NET_AMOUNT and _LOADED_AT only."""
-        src = fact_billing_src(self.stg_billing, self.dim_customer, self.dim_product)
-        return merge_upsert(self.fact_billing, src, ["BILLING_ID", "ITEM_NO"], update=BILLING_UPDATE)
+    @cached_property
+    def billing_lines(self):
+        """Billing rows with the product attributes that the marts group by; no customer is looked up for them."""
+        p = small(current(self.dim_product).select("PRODUCT_ID", "PRODUCT_LINE"), DIM_BROADCAST_ROWS)
+        return billing_rows(self.stg_billing).join(p, "PRODUCT_ID")
+
+    def merged_fact_sales_orders(self, cutoff: str) -> DataFrame:
+        """M1: the fact loaded up to a cut-off and committed, then the later rows merged into it."""
+        cut = F.lit(cutoff).cast("timestamp_ntz")
+        dims = (self.dim_customer, self.dim_product, self.dim_sales_org)
+        loaded = fact_sales_orders_src(self.stg_sales_orders.where(F.col("_LOADED_AT") < cut), *dims)
+        later = fact_sales_orders_src(self.stg_sales_orders.where(F.col("_LOADED_AT") >= cut), *dims)
+        return merge_upsert(self._commit(loaded, "fact_sales_orders"), later, ["ORDER_ID", "ITEM_NO"], update=ORDER_UPDATE)
+
+    def merged_fact_billing(self, cutoff: str) -> DataFrame:
+        """M2: billing loaded up to a cut-off, then the later deliveries; those of known rows update
+        NET_AMOUNT and _LOADED_AT only."""
+        cut = F.lit(cutoff).cast("timestamp_ntz")
+        dims = (self.dim_customer, self.dim_product)
+        loaded = fact_billing_src(self.stg_billing.where(F.col("_LOADED_AT") < cut), *dims)
+        later = fact_billing_src(self.stg_billing.where(F.col("_LOADED_AT") >= cut), *dims)
+        return merge_upsert(self._commit(loaded, "fact_billing"), later, ["BILLING_ID", "ITEM_NO"], update=BILLING_UPDATE)

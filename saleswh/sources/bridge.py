@@ -12,7 +12,6 @@ Fixed values (must match the oracle's bridge): the rules of FIXTURES.md §5.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -307,9 +306,9 @@ def bronze_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text input for D4-D6: English documents as complaints (id, customer, date, text)."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return docs.where(F.col("lang") == "en").select(
+    """Text input for D4-D6: all documents, of any language, as complaints (id, customer, date, text)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select(
         F.col("doc_id").alias("RECLAMO_ID"),
         (F.col("doc_id") % 1000 + 1).alias("CUSTOMER_SK"),
         F.date_add(F.lit("2001-01-01").cast("date"), (F.col("doc_id") % 200).cast("int")).alias("FECHA"),
@@ -317,5 +316,6 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)
+def order_dates(spark: SparkSession, sf_dir: str) -> tuple:
+    """First and last order date."""
+    return tuple(table(spark, sf_dir, "orders", "o_orderdate").agg(F.min("o_orderdate"), F.max("o_orderdate")).first())
