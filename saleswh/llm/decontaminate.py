@@ -159,7 +159,7 @@ def _stretches(codes: np.ndarray, first: np.ndarray, automaton: Automaton) -> tu
     return begins[long], ends[long]
 
 
-def _match(shared):
+def _match(shared, cut: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         vocabulary = pa.array(automaton.vocabulary, pa.large_binary())
@@ -185,14 +185,16 @@ def _match(shared):
                 n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[w.first])
                 new = {"hit_spans": W.spans(hit, w.first), "n_words": pa.array(w.counts(), pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
                        "items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+                if cut:
+                    new["text"] = W.without(part["text"], hit, w, _WORD).cast(pa.string())
                 names = part.schema.names
                 yield pa.RecordBatch.from_arrays([new.get(c, part[c]) for c in names], names=names)
     return run
 
 
-def matched(docs: DataFrame, items: DataFrame) -> DataFrame:
+def matched(docs: DataFrame, items: DataFrame, cut: bool = False) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``n_hit``, ``hit_spans`` (start, words), ``items`` (ids as strings, sorted)
-    and ``contaminated``; ``items``: (item_id, text)."""
+    and ``contaminated``; ``items``: (item_id, text).  With ``cut``, ``text`` comes without its hit spans."""
     spark = docs.sparkSession
     own = [c for c in docs.columns if c not in ADDED]
     state = docs.select(*own, *(F.lit(None).cast(kind).alias(c) for c, kind in ADDED.items() if c != "contaminated"))
@@ -206,29 +208,12 @@ def matched(docs: DataFrame, items: DataFrame) -> DataFrame:
     for block in range(blocks):
         rows = known.where(F.pmod(F.xxhash64("item", "terms"), F.lit(blocks)) == block).collect()
         automaton = Automaton(sorted((r["item"], [x.encode() for x in r["terms"]]) for r in rows))
-        state = state.mapInArrow(_match(spark.sparkContext.broadcast(automaton)), state.schema)
+        state = state.mapInArrow(_match(spark.sparkContext.broadcast(automaton), cut and block + 1 == blocks), state.schema)
         if block + 1 < blocks:
             state = written(state, "benchmark-hits")
     return state.withColumn("contaminated", (F.col("n_hit") > 0) & (COVERAGE * F.col("n_hit") >= F.col("n_words")))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b in W.slices(batch["text"]):
-            part = batch.slice(a, b - a)
-            w = W.split(part["text"], W.ALNUM, lower=True)
-            hit = np.zeros(len(w), bool)
-            for row, spans in enumerate(part["hit_spans"].to_pylist()):
-                for s in spans or ():
-                    at = w.first[row] + s["start"]
-                    hit[at:at + s["words"]] = True
-            names = [c for c in part.schema.names if c != "hit_spans"]
-            text = W.without(part["text"], hit, w, _WORD).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([text if c == "text" else part[c] for c in names], names=names)
-
-
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, without their hit spans; the columns of ``docs`` but for ``ADDED``."""
-    rows = matched(docs, items).where("not contaminated")
-    own = T.StructType([f for f in docs.schema if f.name not in ADDED])
-    return rows.select(*own.names, "hit_spans").mapInArrow(_cut, own)
+    return matched(docs, items, cut=True).where("not contaminated").select([c for c in docs.columns if c not in ADDED])

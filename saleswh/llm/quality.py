@@ -26,24 +26,28 @@ Defined results: a null or empty text has no words and fails the base rules;
 null ``lang`` is the stratum ``-``; labels that are null or contradict each
 other for one ``doc_id`` are not used; without labels no rule is learned;
 repeated rows are judged alike, each on its own; other columns of the input
-are ignored by ``features`` and kept by ``accepted``.
+are passed on, those named like an added one are replaced.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswh.llm import words as W
 from saleswh.llm.tables import written
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Good documents that the learned rules may reject in a stratum, and the probability that a stratum has more.
 RISK, ERROR = 0.05, 0.05
 #: Languages with the most labels that are strata of their own; others share the stratum ``other``.
@@ -100,16 +104,21 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             distinct = np.array([len(set(x)) for x in lines], np.int64)
             found = [w.counts(), per_row((w.data & 0xC0) != 0x80), per_row(symbol[w.data]), n_lines - distinct,
                      _repeated(codes, w.first, REPEAT_WORDS), n_lines]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].slice(a, b - a), batch["stratum"].slice(a, b - a), *(pa.array(x, pa.int64()) for x in found)],
-                names=["doc_id", "stratum", *COUNTS])
+            own = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*own.columns, *(pa.array(x, pa.int64()) for x in found)], names=[*batch.schema.names, *COUNTS])
+
+
+#: What ``features`` adds.
+ADDED = ["stratum", *COUNTS, "base_failed", "symbols_per_word", "repeated_lines", "repeated_words", "word_length"]
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum, the counts of ``COUNTS``, base_failed, and the rules' features, for each row of ``docs``."""
-    kind = dict(docs.dtypes)["doc_id"]
-    counts = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("-")).alias("stratum"), "text") \
-        .mapInArrow(_measure, f"doc_id {kind}, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    """The rows of ``docs`` with their stratum, the counts of ``COUNTS``, base_failed, and the rules' features."""
+    own = docs.select(*(c for c in docs.columns if c not in ADDED))
+    lang = F.col("lang").cast("string") if "lang" in own.columns else F.lit(None).cast("string")
+    rows = own.withColumn("stratum", F.coalesce(lang, F.lit("-")))
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in COUNTS)])
+    counts = rows.mapInArrow(_measure, schema)
     n = F.greatest(F.col("n_words"), F.lit(1))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MOST_REPEATED) * F.col("n_words"))
     return counts.select("*", failed.alias("base_failed"), (F.col("n_symbols") / n).alias("symbols_per_word"),
@@ -188,10 +197,7 @@ def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error
     return found
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """For each document: its features, ``base_failed``, ``rejected_by`` (the first rule, or null) and ``kept``."""
-    measured = written(features(docs), "quality-features")
-    cutoffs = thresholds(measured, labels)
+def _verdicts(measured: DataFrame, cutoffs: dict[tuple[str, str], float]) -> DataFrame:
     own = [s for s, rule in cutoffs if not rule]
     stratum = F.when(F.col("stratum").isin(own), F.col("stratum")).otherwise(F.lit("other")) if own else F.lit("other")
     hits = [F.when((stratum == s) & _beyond(rule, c), F.lit(rule)) for (s, rule), c in sorted(cutoffs.items()) if rule]
@@ -200,11 +206,18 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .withColumn("kept", F.col("rejected_by").isNull())
 
 
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """For each document: doc_id, its features, ``rejected_by`` (``base``, the first rule, or null) and ``kept``."""
+    measured = written(features(docs.select("doc_id", "lang", "text")).drop("lang", "text"), "quality-features")
+    return _verdicts(measured, thresholds(measured, labels))
+
+
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they were.
+    """The rows of ``docs`` that are kept, but for columns named like those added (``ADDED``, ``kept``, ``rejected_by``).
 
-    Joined by ``doc_id``; rows that share a ``doc_id`` stay only if all of
-    them are kept, and rows without one never do.
+    Rows are measured and written once; the thresholds read the narrow
+    columns of that table, the result its kept rows, so no text is shuffled.
     """
-    ids = judged(docs, labels).groupBy("doc_id").agg(F.min("kept").alias("keep")).where("keep").select("doc_id")
-    return docs.join(ids, "doc_id", "left_semi").select(docs.columns)
+    own = [c for c in docs.columns if c not in (*ADDED, "kept", "rejected_by")]
+    measured = written(features(docs.select(*own)), "quality-measured")
+    return _verdicts(measured, thresholds(measured, labels)).where("kept").select(own)
