@@ -58,7 +58,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes, distinct = w.coded()
             langs = part["lang"].dictionary_encode()
             lang = langs.indices.to_numpy(zero_copy_only=False)[w.rows()]
-            tokens = distinct.to_pylist()
+            tokens = W.items(distinct)
             found: dict[tuple[str, int], Counter] = {}
             for k, name in enumerate(langs.dictionary.to_pylist()):
                 times = np.bincount(codes[lang == k], minlength=len(tokens))
@@ -158,7 +158,7 @@ def _predict(shared):
                 part = batch.slice(a, b - a)
                 w = W.split(part["text"], W.NOT_SPACE)
                 codes, distinct = w.coded()
-                runs = [_LETTERS.findall(t.decode().lower()) for t in distinct.to_pylist()]
+                runs = [_LETTERS.findall(t.decode().lower()) for t in W.items(distinct)]
                 distinct_words = {x: i for i, x in enumerate(dict.fromkeys(x for r in runs for x in r))}
                 of_word = model.scores(list(distinct_words))
                 of_token = np.zeros((len(runs), len(model.langs)))

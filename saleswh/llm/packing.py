@@ -12,10 +12,10 @@ holds 2 bytes an id.  Ranges are bounded by key and document, so equal or
 busy keys are split as well, and each is packed by one task in a single pass
 that holds one Arrow batch and less than one sequence.
 
-Words are encoded once for each batch in which they occur, and kept for later
-batches: a text is cut before white space that follows anything else, where
-the byte-level BPE always starts a new pre-token, so the pieces' ids, laid
-end to end, are the text's ids.
+Words are encoded once by each task, which keeps the ids of up to
+``MEMO_WORDS`` of them: a text is cut where the byte-level BPE always starts a
+new pre-token, before white space that follows anything else and between a
+letter and punctuation, so the pieces' ids, laid end to end, are the text's.
 
 Defined results: a null or empty text is the end-of-text id alone; rows with
 equal or null ``doc_id`` are packed each on their own; other columns are ignored.
@@ -41,8 +41,8 @@ from saleswh.llm.tables import written
 SEQUENCE, END = 1024, 0
 #: Dimensions of the projection, and bits of each in the Hilbert key.
 DIMENSIONS, KEY_BITS = 4, 10
-#: Encoded words that a Python worker keeps.
-MEMO_WORDS = 400_000
+#: Encoded words that a task keeps.
+MEMO_WORDS = 600_000
 #: Bytes of tokens in a range.
 RANGE_BYTES = 64 << 20
 
@@ -64,30 +64,34 @@ class Encoder:
         self.sizes = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, np.int64)
         for token, i in model["vocab"].items():
             self.sizes[i] = len(token)  # a byte is a character in the vocabulary
-        self.young: dict[bytes, np.ndarray] = {}
-        self.old: dict[bytes, np.ndarray] = {}
-
-    def _encode(self, pieces: list[bytes]) -> Iterator[tuple[bytes, np.ndarray]]:
-        joins = [p for p in pieces if W.NOT_SPACE[p[-1]] and not W.NOT_SPACE[p[0]]]
-        alone = [p for p in pieces if not (W.NOT_SPACE[p[-1]] and not W.NOT_SPACE[p[0]])]
-        lines = [joins[i:i + 500] for i in range(0, len(joins), 500)] + [[p] for p in alone]
-        encoded = self.tokenizer.encode_batch_fast([b"".join(x).decode() for x in lines], add_special_tokens=False)
-        for line, e in zip(lines, encoded, strict=True):
-            ids = np.array(e.ids, np.uint32)
-            ends = np.cumsum(self.sizes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p) for p in line[:-1]])) + 1 if len(line) > 1 else []
-            yield from zip(line, np.split(ids, cuts), strict=True)
-
-    def __call__(self, pieces: list[bytes]) -> list[np.ndarray]:
-        young, old = self.young, self.old
-        for p in pieces:
-            if p not in young and (ids := old.get(p)) is not None:
-                young[p] = ids
-        young.update(self._encode([p for p in pieces if p not in young]))
-        found = [young[p] for p in pieces]
-        if len(young) > MEMO_WORDS // 2:
-            self.old, self.young = young, {}
-        return found
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.pool, self.begins, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode pieces and keep their ids.  Pieces with white space in front can be encoded in one text."""
+        joins = [p for p in new if W.NOT_SPACE[p[-1]] and not W.NOT_SPACE[p[0]]]
+        alone = [p for p in new if not (W.NOT_SPACE[p[-1]] and not W.NOT_SPACE[p[0]])]
+        lines = [b"".join(joins[i:i + 500]) for i in range(0, len(joins), 500)] + alone
+        encoded = self.tokenizer.encode_batch_fast([x.decode() for x in lines], add_special_tokens=False)
+        ids = np.array([i for e in encoded for i in e.ids], np.uint32)
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p) for p in joins + alone])) + 1
+        counts = np.diff(ends, prepend=0)
+        self.places.update(zip(joins + alone, range(len(self.counts), len(self.counts) + len(counts)), strict=True))
+        self.begins = np.concatenate([self.begins, len(self.pool) + ends - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and number of the ids of each of some different pieces in ``pool``."""
+        if len(self.places) + len(pieces) > MEMO_WORDS:
+            self.forget()
+        known = self.places
+        self._learn([p for p in pieces if p not in known])
+        at = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+        return self.begins[at], self.counts[at]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -100,22 +104,27 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+_PUNCTUATION = np.isin(np.arange(256), list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"))
+_LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+
+
 def pieces(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Where texts can be cut: at their begins, and before ASCII white space after anything that is no white space.
+    """Where texts can be cut: at their begins, before ASCII white space after anything that is no white space, and
+    before ASCII punctuation but the apostrophe after a letter of a-z or Latin-1.
 
     White space beyond ASCII and the separators 1C-1F are never cut after.
     """
     space = ~W.NOT_SPACE[raw]
-    cut = space.copy()
+    cut = space | _PUNCTUATION[raw]
     cut[1:] &= ~space[:-1]
-    cut[:1] = True
     spots = np.flatnonzero(cut)
     spots = spots[spots > 0]
     one = raw[spots - 1]
     two, three = raw[np.maximum(spots - 2, 0)], raw[np.maximum(spots - 3, 0)]
     odd = (one < 0x20) | ((two == 0xC2) & np.isin(one, (0x85, 0xA0))) | (np.isin(three, (0xE1, 0xE2, 0xE3)) & np.isin(two, (0x80, 0x81, 0x9A)))
+    letter = _LETTER[one] | ((two == 0xC3) & ~np.isin(one, (0x97, 0xB7)))
     keep = np.zeros(len(raw) + 1, bool)
-    keep[spots[~odd]] = True
+    keep[spots[np.where(space[spots], ~odd, letter)]] = True
     keep[at] = True
     return np.flatnonzero(keep)
 
@@ -169,12 +178,9 @@ def _tokenize(path: str):
                 cuts = pieces(raw, at)
                 words = W.Words(raw, cuts, np.searchsorted(cuts, at))
                 codes, distinct = words.coded()
-                ids = encode(distinct.to_pylist())
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                pool = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(kind)
-                begins = np.cumsum(sizes) - sizes
+                begins, sizes = encode(W.items(distinct))
                 ends = np.concatenate([[0], np.cumsum(sizes[codes])])
-                tokens = pool[np.repeat(begins[codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])]
+                tokens = encode.pool[np.repeat(begins[codes] - ends[:-1], sizes[codes]) + np.arange(ends[-1])]
                 ends = ends[words.first]  # of texts
                 tokens = np.insert(tokens, ends[1:], END).astype(kind)
                 ends = ends + np.arange(len(ends))
@@ -182,6 +188,7 @@ def _tokenize(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(a, b - a), pa.array(_curve(distinct, codes, words.first)), pa.array(np.diff(ends)), held.cast(pa.binary())],
                     names=["doc_id", "curve", "tokens", "ids"])
+        encode.forget()  # the worker process goes on to other tasks
     return run
 
 

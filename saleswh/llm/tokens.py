@@ -97,7 +97,7 @@ def _count(path: str):
                 w = W.split(part["text"], W.NOT_SPACE)
                 codes, distinct = w.coded()
                 counts = np.zeros(len(distinct) + 1, np.int64)
-                for i, word in enumerate(distinct.to_pylist()):
+                for i, word in enumerate(W.items(distinct)):
                     counts[i] = trie.count(MARK + word.decode())
                     if len(trie.score) > NODES:
                         trie.clear()
