@@ -1,26 +1,37 @@
 """Broadcast only behind a proven size bound.
 
-``small(df, max_rows)`` runs a bounded probe (``limit(max_rows + 1).count()``,
-which stops reading once the bound is passed) and adds a broadcast hint
-only when the side is within the bound; otherwise the plain frame is
-returned and the planner/AQE keeps a shuffle join.  The probe costs one
-short job on a small table and never scans more than ``max_rows + 1`` rows
-past the filters.
+``small(df, max_rows)`` measures a side with one aggregate (rows, and bytes of
+its values; every task sends one row) and adds a broadcast hint only within
+both bounds.  Otherwise the plain frame is returned and the planner/AQE keeps
+a shuffle join.  The sides are key and attribute columns of committed
+dimensions, so the pass reads a pruned parquet table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest row count we allow to be replicated to every executor.
+# Most rows and bytes that may be replicated to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of all values (8 for each that is no text or binary)."""
+    size = F.lit(0)
+    for f in df.schema:
+        wide = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 16 if wide else F.lit(8))
+    return tuple(df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first())
 
 
-def small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the frame has at most ``max_rows`` rows, else unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    rows, size = measured(df)
+    return rows <= max_rows and size <= max_bytes
+
+
+def small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint if the frame is within both bounds, else unchanged."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

@@ -8,10 +8,10 @@ DataFrame operation.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -123,7 +123,7 @@ def run_entities(catalog: list[dict], reader: Callable[[dict], DataFrame],
             rows = writer(ent, df)
             out.append({"entity": ent["name"], "status": "OK", "rows": rows})
         except (AnalysisException, OSError, ValueError, KeyError) as e:
-            out.append({"entity": ent["name"], "status": "ERROR", "error": str(e)[:500]})
+            out.append({"entity": ent["name"], "status": "ERROR", "error": str(e)})
     return out
 
 
@@ -150,13 +150,20 @@ def write_landing(df: DataFrame, base: str, entity: str, run_ts: datetime) -> st
 
 
 def export_csv(tables: dict[str, DataFrame], base: str) -> DataFrame:
-    """Distributed CSV export (header) + a (table, rows) report; no driver collect."""
+    """Distributed CSV export (header) + a (table, rows) report; no driver collect.
+
+    The rows are counted while they are written, so the report holds whatever
+    the values contain (line breaks, quotes); quotes are doubled and texts
+    with line breaks quoted, for readers with ``multiLine``.
+    """
     spark = None
     counts = []
     for name, df in tables.items():
         spark = df.sparkSession
-        df.write.mode("overwrite").option("header", True).csv(f"{base}/{name}")
-        counts.append((name, spark.read.option("header", True).csv(f"{base}/{name}").count()))
+        seen = Observation(f"export {name}")
+        (df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+           .option("header", True).option("escape", '"').csv(f"{base}/{name}"))
+        counts.append((name, seen.get["rows"]))
     return spark.createDataFrame(counts, "table_name string, row_count bigint")
 
 
@@ -214,8 +221,3 @@ def load_history(df: DataFrame, file_col: str = "_SOURCE_FILE", ts_col: str = "_
     """Rows and first/last load per landed file."""
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("ROW_COUNT"), F.min(ts_col).alias("FIRST_LOAD"),
                                     F.max(ts_col).alias("LAST_LOAD"))
-
-
-def values_df(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """Literal rows."""
-    return spark.createDataFrame(list(rows), schema)
