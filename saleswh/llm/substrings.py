@@ -5,7 +5,7 @@ starts in a document with a smaller ``doc_id``.
 
 Every document is parsed against every indexed reference block.  What makes
 that affordable is that a factor of 13 words can only be in a block that holds
-its *anchor*: of the 8-word runs inside a window, the one with the smallest
+its *anchor*: of the 6-word runs inside a window, the one with the smallest
 hash.  Equal windows have equal anchors, so blocks are hash ranges of anchors,
 and a stretch of a document (the windows around one anchor, a *segment*) is
 sent to the one block that can hold a factor of it:
@@ -50,7 +50,7 @@ from saleswh.llm import words as W
 from saleswh.llm.tables import written
 
 #: Words in a window, and in the runs of which a window's anchor is one.
-WINDOW, ANCHOR = 13, 8
+WINDOW, ANCHOR = 13, 6
 #: An anchor found in more chunks than this is routed by window.
 BUSY_CHUNKS = 32
 #: Bytes of text for which there is one reference block.
@@ -176,25 +176,20 @@ def _segments(blocks: int):
         start, last = at[begin], at[np.append(begin[1:], len(at)) - 1]
         windows = W.gram_hashes(p.hashes, WINDOW)
         key = np.where(busy[begin], windows[start] | _FLAG, p.anchor[start])
-        doc = p.ids[p.rows[start]]
-        raw, lengths = p.words.data.tobytes(), p.words.offsets
-        # words of a segment end to end, with their lengths: one bytes object that stands for the word sequence
-        held: dict[tuple[int, bytes], list[int]] = {}
-        sizes = np.diff(lengths).astype(np.uint32)
-        for i, (k, a, z) in enumerate(zip(key.tolist(), start.tolist(), (last + WINDOW).tolist(), strict=True)):
-            held.setdefault((k, sizes[a:z].tobytes() + raw[lengths[a]:lengths[z]]), []).append(i)
-        key = np.fromiter((k for k, _ in held), np.uint64, len(held))
-        low = np.fromiter((min(doc[i] for i in x) for x in held.values()), np.int64, len(held))
-        first = [x[0] for x in held.values()]
-        texts = [b" ".join(raw[lengths[j]:lengths[j + 1]] for j in range(start[i], last[i] + WINDOW)) for i in first]
-        places = list(held.values())
-        order, dealt, ends = _dealt(key, blocks)
-        out, a = [], 0
-        for z in ends.tolist():
-            pick = order[a:z]
-            out.append(_pack(pa.table([pa.array(key[pick]), pa.array([texts[i] for i in pick], pa.large_binary()), pa.array(low[pick]),
-                                       pa.array([start[places[i]] for i in pick], pa.list_(pa.int32()))], schema=_SEGMENTS)))
-            a = z
+        # words with one space between them stand for the word sequence; equal ones are sent once
+        text, offsets = np.insert(p.words.data, p.words.offsets[1:-1], 0x20).tobytes(), p.words.offsets
+        begins, stops = offsets[start] + start, offsets[last + WINDOW] + last + WINDOW - 1
+        held: dict[tuple[int, bytes], int] = {}
+        of = np.fromiter((held.setdefault((k, text[a:z]), len(held)) for k, a, z in zip(key.tolist(), begins.tolist(), stops.tolist(), strict=True)), np.int64, len(key))
+        order = np.argsort(of, kind="stable")
+        ends = np.cumsum(np.bincount(of, minlength=len(held)))
+        low = np.minimum.reduceat(p.ids[p.rows[start]][order], np.concatenate([[0], ends[:-1]]))
+        places = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), start[order].astype(np.int32))
+        keys = np.fromiter((k for k, _ in held), np.uint64, len(held))
+        rows = pa.table([pa.array(keys), pa.array([x for _, x in held], pa.large_binary()), pa.array(low), places], schema=_SEGMENTS)
+        order, dealt, ends = _dealt(keys, blocks)
+        rows = rows.take(pa.array(order)).combine_chunks()
+        out = [_pack(rows.slice(a, z - a)) for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         return pa.table({"block": pa.array(dealt), "chunk": pa.array(np.full(len(dealt), chunk["chunk"][0].as_py())), "segments": pa.array(out, pa.binary())})
     return run
 
@@ -226,33 +221,36 @@ def _parse(table: pa.Table) -> pa.Table:
     parts = [_unpack(b) for b in table["segments"].to_pylist()]
     chunks = np.repeat(np.array(table["chunk"].to_pylist(), np.int64), [len(p) for p in parts])
     rows = pa.concat_tables(parts).combine_chunks()
-    keys, low = rows["key"].to_numpy(), rows["first"].to_numpy()
-    order = np.argsort(keys, kind="stable")
-    ends = np.append(np.flatnonzero(keys[order][1:] != keys[order][:-1]) + 1, len(order)) if len(order) else []
-    texts, places = rows["words"].combine_chunks(), rows["places"].combine_chunks()
+    order = np.argsort(rows["key"].to_numpy(), kind="stable")
+    rows, chunks = rows.take(pa.array(order)).combine_chunks(), chunks[order].tolist()
+    keys, low, lists = rows["key"].to_numpy(), rows["first"].to_pylist(), rows["places"].combine_chunks()
+    spots, texts = lists.flatten().to_pylist(), rows["words"].to_pylist()
+    upto = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    ends = np.append(begins[1:], len(keys))
+    several = upto[ends] - upto[begins] > 1
+    upto = upto.tolist()
     found: list[tuple[int, int, int, int]] = []  # chunk, place, windows, document
-    a = 0
-    for z in ends:
-        group, a = order[a:z], z
-        if len(group) == 1 and len(places[int(group[0])].as_py()) == 1:
-            continue
+    for a, z in zip(begins[several].tolist(), ends[several].tolist(), strict=True):
         same: dict[bytes, list[int]] = {}
-        for i in group.tolist():
-            same.setdefault(texts[i].as_py(), []).append(i)
-        owner = {t: min(int(low[i]) for i in m) for t, m in same.items()}
+        for i in range(a, z):
+            same.setdefault(texts[i], []).append(i)
+        owner = {t: min(low[i] for i in m) for t, m in same.items()}
         index: dict[tuple[bytes, ...], tuple[int, int]] = {}
         references: list[list[bytes]] = []
         owners: list[int] = []
         for first, tied in groupby(sorted(same, key=lambda t: (owner[t], t)), key=owner.__getitem__):
-            parsed = [(t, t.split(b" ")) for t in tied]
-            for t, ws in parsed:
-                spots = [(int(chunks[i]), at, int(low[i])) for i in same[t] for at in places[i].as_py()]
-                if len(spots) > 1:
-                    found += [(c, at, len(ws) - WINDOW + 1, first) for c, at, _ in spots]
-                for at, n, ref in factor(ws, index, references):
-                    found += [(c, p + at, n - WINDOW + 1, owners[ref]) for c, p, least in spots if least == first]
+            tied = list(tied)
+            for t in tied:
+                n = t.count(b" ") + 2 - WINDOW
+                if upto[same[t][0] + 1] - upto[same[t][0]] > 1 or len(same[t]) > 1:
+                    found += [(chunks[i], at, n, first) for i in same[t] for at in spots[upto[i]:upto[i + 1]]]
+                if index:
+                    for at, n, ref in factor(t.split(b" "), index, references):
+                        found += [(chunks[i], p + at, n - WINDOW + 1, owners[ref]) for i in same[t] if low[i] == first for p in spots[upto[i]:upto[i + 1]]]
             if len(same) > 1:
-                for _, ws in parsed:
+                for t in tied:
+                    ws = t.split(b" ")
                     for at in range(len(ws) - WINDOW + 1):
                         index.setdefault(tuple(ws[at:at + WINDOW]), (len(references), at))
                     references.append(ws)
