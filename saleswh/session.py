@@ -15,10 +15,6 @@ from pyspark.sql import SparkSession
 CORRECTNESS_CONF = {
     # Business dates are compared as wall-clock UTC, like the oracle.
     "spark.sql.session.timeZone": "UTC",
-    # The DQ status boards are deep CASE chains over aliased columns; the
-    # optimizer's constraint inference grows super-linearly on them (heap
-    # exhaustion while planning).  Filters are pushed explicitly instead.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 # Settings that matter for throughput at scale.
