@@ -4,12 +4,14 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswh.operators import commit, merge, sizing, windows
 from saleswh.plans import analytics, dq_batch, silver
 from saleswh.plans.warehouse import Warehouse
 from saleswh.session import checkpoint_dir
 from saleswh.sources import odata
+from saleswh.streaming import runner
 
 
 @pytest.mark.parametrize("sf,partitions", [("sf0.01", 4), ("sf0.01", 8), ("sf0.1", 200)])
@@ -135,3 +137,26 @@ def test_overwrite_replaces_the_table(spark, scratch):
     odata.overwrite(spark.range(3), f"{scratch}/o")
     odata.overwrite(spark.range(5), f"{scratch}/o")
     assert spark.read.parquet(f"{scratch}/o").count() == 5
+
+
+def test_stream_adds_and_rescues_columns(spark, scratch):
+    expected = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
+    spark.createDataFrame([("a", "1"), ("b", "x")], "k string, n string").write.parquet(f"{scratch}/raw/1")
+    run = lambda add, to: runner.ingest_evolving(spark, f"{scratch}/raw", "*.parquet", expected, f"{scratch}/ck-{to}", f"{scratch}/{to}", add)
+    run(True, "added"), run(False, "rescued")
+    spark.createDataFrame([("c", "3", "new")], "k string, n string, extra string").write.parquet(f"{scratch}/raw/2")
+    run(True, "added"), run(False, "rescued"), run(True, "added")  # the last has nothing to do
+    rows = {r.k: r for r in spark.read.option("mergeSchema", True).parquet(f"{scratch}/added").collect()}
+    assert {k: (r.n, r.extra, r._rescued_data) for k, r in rows.items()} == {"a": (1, None, None), "b": (None, None, '{"n":"x"}'), "c": (3, "new", None)}
+    assert all(r._input_file_name and r.SourceSystem for r in rows.values())
+    rows = {r.k: r for r in spark.read.parquet(f"{scratch}/rescued").collect()}
+    assert rows["c"]._rescued_data == '{"extra":"new"}' and len(rows) == 3
+
+
+def test_auto_ingest_by_name(spark, scratch):
+    one = T.StructType([T.StructField("ID", T.LongType()), T.StructField("NAME", T.StringType())])
+    spark.createDataFrame([("x", "7", "z")], "name string, id string, more string").coalesce(1).write.parquet(f"{scratch}/raw/customers")
+    entities = {"customers": ("*.parquet", one), "none": ("*.absent", one)}
+    report = runner.auto_ingest(spark, entities, f"{scratch}/raw", f"{scratch}/ck", f"{scratch}/t")
+    assert [r["status"] for r in report] == ["OK", "ERROR"]
+    assert [(r.ID, r.NAME) for r in spark.read.parquet(f"{scratch}/t/customers").collect()] == [(7, "x")]
