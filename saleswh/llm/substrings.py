@@ -55,13 +55,15 @@ WINDOW, ANCHOR = 13, 6
 BUSY_CHUNKS = 32
 #: Bytes of text for which there is one reference block.
 BLOCK_BYTES = 8 << 20
+#: Compression of chunks, which are written once and shuffled twice, and of segments.
+CHUNK_LEVEL, SEGMENT_LEVEL = 6, 3
 
 _FLAG = np.uint64(1)
 
 
-def _pack(table: pa.Table | pa.RecordBatch) -> bytes:
+def _pack(table: pa.Table | pa.RecordBatch, level: int) -> bytes:
     out = io.BytesIO()
-    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))) as w:
         w.write(table)
     return out.getvalue()
 
@@ -76,7 +78,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in W.slices(batch["text"]):
             part = batch.slice(a, b - a)
             size = pc.sum(pc.fill_null(pc.binary_length(part["text"]), 0)).as_py() or 0
-            yield pa.RecordBatch.from_arrays([pa.array([(task << 33) + n], pa.int64()), pa.array([size], pa.int64()), pa.array([_pack(part)], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([(task << 33) + n], pa.int64()), pa.array([size], pa.int64()), pa.array([_pack(part, CHUNK_LEVEL)], pa.binary())],
                                              names=["chunk", "bytes", "blob"])
             n += 1
 
@@ -189,7 +191,7 @@ def _segments(blocks: int):
         rows = pa.table([pa.array(keys), pa.array([x for _, x in held], pa.large_binary()), pa.array(low), places], schema=_SEGMENTS)
         order, dealt, ends = _dealt(keys, blocks)
         rows = rows.take(pa.array(order)).combine_chunks()
-        out = [_pack(rows.slice(a, z - a)) for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        out = [_pack(rows.slice(a, z - a), SEGMENT_LEVEL) for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         return pa.table({"block": pa.array(dealt), "chunk": pa.array(np.full(len(dealt), chunk["chunk"][0].as_py())), "segments": pa.array(out, pa.binary())})
     return run
 

@@ -53,7 +53,7 @@ def test_blocks_and_busy_anchors(monkeypatch, busy):
     """All steps in one process, with a chunk for each document; busy 0 routes every shared window singly."""
     monkeypatch.setattr(substrings, "BUSY_CHUNKS", busy)
     table = pa.table({"doc_id": pa.array([r[0] for r in rows()], pa.int64()), "text": pa.array([r[1] for r in rows()], pa.string())})
-    chunks = [pa.table({"chunk": [i], "blob": pa.array([substrings._pack(table.slice(i, 1).combine_chunks())], pa.binary())}) for i in range(len(table))]
+    chunks = [pa.table({"chunk": [i], "blob": pa.array([substrings._pack(table.slice(i, 1).combine_chunks(), 1)], pa.binary())}) for i in range(len(table))]
     anchors = pa.Table.from_batches([b for c in chunks for b in substrings._anchors(5)(c.to_batches())])
     shared = pa.concat_tables([substrings._shared(anchors.filter(pc.equal(anchors["block"], k)).combine_chunks()) for k in range(5)])
     segments = pa.concat_tables([substrings._segments(5)(c, shared.filter(pc.equal(shared["chunk"], i)).combine_chunks()) for i, c in enumerate(chunks)])
