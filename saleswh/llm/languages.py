@@ -10,7 +10,7 @@ sum over its words.
 
 Words are maximal runs of letters, lower-cased.  The model is fitted on about
 ``SAMPLE`` labelled texts of each of the ``LANGUAGES`` most frequent languages
-(chosen by a hash of the text's row, all of them if there are fewer) and keeps
+(chosen by a hash of text and place, all of them if there are fewer) and keeps
 the ``ENTRIES`` most frequent words and grams in all, so what is broadcast is
 bounded; every text is scored whole, where it is read.
 
@@ -136,11 +136,12 @@ def fit(labelled: DataFrame) -> Model:
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not sizes:
         return Model([], {})
-    # a share of each language by the hash of its texts, so every run takes the same
+    # a share of each language by a hash of text and place, so that no group of copies is drawn as a whole
+    drawn = rows.withColumn("_draw", F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40)))
     part = F.lit(False)
     for r in sizes:
-        part = F.when(F.col("lang") == r["lang"], F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE / r["n"])) + 1).otherwise(part)
-    counts = rows.where(part).mapInArrow(_learn, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+        part = F.when(F.col("lang") == r["lang"], F.col("_draw") <= int((1 << 40) * min(1.0, SAMPLE / r["n"]))).otherwise(part)
+    counts = drawn.where(part).drop("_draw").mapInArrow(_learn, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
     counts = written(counts, "language-counts")
     totals = {(r["lang"], r["n"]): r["times"] for r in counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
     most = max(1, ENTRIES // (len(sizes) * (LONGEST + 1)))
