@@ -249,9 +249,16 @@ class Labeller:
 
 
 def fit(pages: DataFrame) -> Labeller:
-    """The labeller of some pages (html)."""
-    small = pages.select("html").where(F.col("html").isNotNull() & (F.octet_length("html").between(1, SAMPLE_BYTES)))
-    sample = [blocks(r["html"]) for r in small.orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()]
+    """The labeller of some pages (html).
+
+    A share of the rows by their hash, about four times the sample, is drawn
+    where they are read; only these are ordered, so what tasks send to the
+    driver does not grow with their number.
+    """
+    share = min(1.0, 4 * SAMPLE / max(1, pages.count()))
+    drawn = pages.withColumn("_draw", F.pmod(F.xxhash64(*pages.columns), F.lit(1 << 40))).where(F.col("_draw") <= int(share * (1 << 40)))
+    small = drawn.select("_draw", "html").where(F.col("html").isNotNull() & (F.octet_length("html").between(1, SAMPLE_BYTES)))
+    sample = [blocks(r["html"]) for r in small.orderBy("_draw", "html").limit(SAMPLE).collect()]
     rng, shown = np.random.default_rng(7), []
     for page in sample:
         if page:
