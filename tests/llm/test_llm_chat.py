@@ -41,3 +41,29 @@ def test_oracle(spark):
         order = ["conv_id", "participant", "part"]
         got, want = (f.sort_values(order).reset_index(drop=True).fillna(-9) for f in (got, want))
         assert got.astype(str).equals(want[got.columns].astype(got.dtypes.to_dict()).astype(str))
+
+
+def test_overfull_parts_keep_the_order(spark):
+    rows = [(6, i % 9, ("a", "b")[i // 9 % 2], f"q{i}") for i in range(900)] + [(6, 70, ("a", "b", "system")[i % 3], f"same {i} é") for i in range(700)] + [(6, 71, "b", "last")]
+    rows += [(None, None, "a", f"{'lost ' * 80}{i}") for i in range(300)] + [(6, i, "a", "few") for i in range(128, 192)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    table.write.mode("overwrite").parquet(path := f"{spark.conf.get('spark.checkpoint.dir')}/chat-hot/conversations.parquet")
+    con = duckdb.connect()
+    con.register("conversations", table.toArrow())
+    want = {(r[0], r[1], r[2]): r[4:] for r in con.sql(queries.ORACLE_SQL["op2_chat_formatting"]).fetchall()}
+    for n in (4, 13):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = queries.QUERIES["op2_chat_formatting"](spark, path.rsplit("/", 1)[0]).collect()
+        views = {}
+        for r in sorted(got, key=lambda r: r["sub"]):
+            views.setdefault((r.conv_id, r.participant, r.part), []).append(r)
+        assert set(views) == set(want)
+        for key, rs in views.items():
+            assert [r["sub"] for r in rs] == list(range(len(rs))) and all(r.n_messages <= chat.MOST for r in rs)
+            spans, at = [], 0
+            for r in rs:
+                spans += [f"{at + int(a)}:{b}" for a, b in (x.split(":") for x in r["mask"].split(",") if x)]
+                at += len(r.text)
+            assert (sum(r.n_messages for r in rs), "".join(r.text for r in rs), ",".join(spans)) == want[key]
+        assert [r.n_messages for r in views[6, "a", 0]] == [200, 200, 200, 200, 100] and [r.n_messages for r in views[6, "a", 1]] == [256, 256, 188, 1]
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
