@@ -9,10 +9,12 @@ the mean over the grams that are left.  A text's score in a language is the
 sum over its words.
 
 Words are maximal runs of letters, lower-cased.  The model is fitted on about
-``SAMPLE`` labelled texts of each of the ``LANGUAGES`` most frequent languages
-(chosen by a hash of text and place, all of them if there are fewer) and keeps
-the ``ENTRIES`` most frequent words and grams in all, so what is broadcast is
-bounded; every text is scored whole, where it is read.
+``SAMPLE`` labelled texts of every language (chosen by a hash of text and
+place, all of them if there are fewer) and keeps at most ``ENTRIES`` words and
+grams in all, an equal share of the most frequent of each language; each of
+them has its true count in all languages.  So what is broadcast is bounded by
+the number of languages; every text is scored whole, where it is read, in
+``ABREAST`` languages at a time.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or
 if nothing could be learned; on ties the first language by name; otherwise the
@@ -36,8 +38,8 @@ from pyspark.sql.window import Window
 from saleswh.llm import words as W
 from saleswh.llm.tables import written
 
-#: Labelled texts for each language, languages, and words and grams in the model.
-SAMPLE, LANGUAGES, ENTRIES = 10_000, 64, 400_000
+#: Labelled texts for each language, words and grams in the model, and languages whose table a task holds at once.
+SAMPLE, ENTRIES, ABREAST = 10_000, 400_000, 64
 #: Longest n-gram; log penalty of a step to shorter grams; count of a word or gram in a language that lacks it.
 LONGEST, STEP, ABSENT = 4, 1.0, 0.1
 
@@ -80,21 +82,34 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Log frequencies by language: one table of words (order 0) and one of grams of each length."""
 
-    def __init__(self, rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], int]):
-        self.langs = sorted({r[0] for r in rows})
-        column = {x: i for i, x in enumerate(self.langs)}
+    def __init__(self, counts: pa.Table | None, totals: dict[tuple[str, int], int]):
+        """``counts``: a row for each word or gram with n, gram, and its languages (places in the sorted names) and times."""
+        self.langs = sorted({x for x, _ in totals})
         self.rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        order = np.array([r[1] for r in rows], np.int64)
-        at = np.array([self.rows[r[1]].setdefault(r[2], len(self.rows[r[1]])) for r in rows], np.int64)
-        self.logs = []
-        for n in range(LONGEST + 1):
-            times = np.full((len(self.rows[n]), len(self.langs)), ABSENT)
-            for i in np.flatnonzero(order == n).tolist():
-                times[at[i], column[rows[i][0]]] += rows[i][3]
-            size = np.array([totals.get((x, n), 0) + 1.0 for x in self.langs])
-            self.logs.append(np.log(times / size))
-        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in self.logs])])
-        self.table = np.concatenate(self.logs) if rows else np.zeros((0, 0))
+        orders = counts["n"].to_pylist() if counts else []
+        at = np.array([self.rows[n].setdefault(g, len(self.rows[n])) for n, g in zip(orders, counts["gram"].to_pylist() if counts else [], strict=True)], np.int64)
+        self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in self.rows])])
+        at += self.offsets[np.array(orders, np.int64)]
+        # the counts that are not zero, by table row and language
+        self.at, self.column, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if counts:
+            self.at = at[pc.list_parent_indices(counts["columns"].combine_chunks()).to_numpy()]
+            self.column, self.times = (pc.list_flatten(counts[c].combine_chunks()).to_numpy() for c in ("columns", "times"))
+        self.sizes = np.array([[totals.get((x, n), 0) + 1.0 for x in self.langs] for n in range(LONGEST + 1)])
+        self.held: tuple[int, np.ndarray] | None = None
+
+    def table(self, first: int) -> np.ndarray:
+        """Log frequencies of all words and grams in the languages from ``first``; only the last one made is held."""
+        if self.held is None or self.held[0] != first:
+            self.held = None
+            sizes = self.sizes[:, first:first + ABREAST]
+            here = (self.column >= first) & (self.column < first + ABREAST)
+            logs = np.full((int(self.offsets[-1]), sizes.shape[1]), ABSENT)
+            logs[self.at[here], self.column[here] - first] += self.times[here]
+            for n in range(LONGEST + 1):
+                logs[self.offsets[n]:self.offsets[n + 1]] /= sizes[n]
+            self.held = first, np.log(logs, out=logs)
+        return self.held[1]
 
     def parts(self, word: str) -> tuple[list[int], list[int]]:
         """Rows of the table that make up a word's score, and how many steps back each is."""
@@ -115,39 +130,49 @@ class Model:
             left, n = shorter, n - 1
         return at, steps
 
-    def scores(self, words: list[str]) -> np.ndarray:
-        """Words by languages; a word without any known gram scores zero throughout."""
+    def found(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """How many parts each word has, and table row and steps back of all parts in turn."""
         parts = [self.parts(w) for w in words]
-        sizes = np.array([len(at) for at, _ in parts], np.int64)
-        out = np.zeros((len(words), len(self.langs)))
+        return (np.array([len(at) for at, _ in parts], np.int64), np.array([x for at, _ in parts for x in at], np.int64),
+                np.array([x for _, steps in parts for x in steps], np.float64))
+
+    def scores(self, found: tuple[np.ndarray, ...], first: int) -> np.ndarray:
+        """Words by the languages from ``first``; a word without any known gram scores zero throughout."""
+        sizes, rows, steps = found
+        table = self.table(first)
+        out = np.zeros((len(sizes), table.shape[1]))
         full = np.flatnonzero(sizes)
         if len(full):
-            rows = np.concatenate([np.array(parts[i][0], np.int64) for i in full])
-            steps = np.concatenate([np.array(parts[i][1], np.float64) for i in full])
             begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-            values = self.table[rows] - STEP * steps[:, None]
+            values = table[rows] - STEP * steps[:, None]
             out[full] = np.add.reduceat(values, begins, axis=0) / sizes[full][:, None]
         return out
 
 
 def fit(labelled: DataFrame) -> Model:
-    """The model of texts (text, lang); rows without either teach nothing."""
+    """The model of texts (text, lang); rows without either teach nothing.  The driver gets a row for each language, and
+    one for each word or gram of the model."""
     rows = labelled.where("text is not null and lang is not null").select("text", F.col("lang").cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
-        return Model([], {})
+        return Model(None, {})
     # a share of each language by a hash of text and place, so that no group of copies is drawn as a whole
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame([(r["lang"], int((1 << 40) * min(1.0, SAMPLE / r["n"]))) for r in sizes], "lang string, _share long")
     drawn = rows.withColumn("_draw", F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1 << 40)))
-    part = F.lit(False)
-    for r in sizes:
-        part = F.when(F.col("lang") == r["lang"], F.col("_draw") <= int((1 << 40) * min(1.0, SAMPLE / r["n"]))).otherwise(part)
-    counts = drawn.where(part).drop("_draw").mapInArrow(_learn, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    drawn = drawn.join(F.broadcast(shares), "lang").where("_draw <= _share").select("text", "lang")
+    counts = drawn.mapInArrow(_learn, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
     counts = written(counts, "language-counts")
     totals = {(r["lang"], r["n"]): r["times"] for r in counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
+    if not totals:
+        return Model(None, {})
     most = max(1, ENTRIES // (len(sizes) * (LONGEST + 1)))
     rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("times"), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "n", "gram", "times").toPandas()
-    return Model([tuple(r) for r in top.itertuples(index=False)], totals)
+    chosen = counts.withColumn("rank", rank).where(F.col("rank") <= most).select("n", "gram").distinct()
+    places = spark.createDataFrame(list(enumerate(sorted({x for x, _ in totals}))), "_column int, lang string")
+    cells = counts.join(chosen, ["n", "gram"], "left_semi").join(F.broadcast(places), "lang") \
+        .groupBy("n", "gram").agg(F.collect_list(F.struct("_column", "times")).alias("cells"))
+    return Model(cells.select("n", "gram", F.col("cells._column").alias("columns"), F.col("cells.times").alias("times")).toArrow(), totals)
 
 
 def _predict(shared):
@@ -161,14 +186,19 @@ def _predict(shared):
                 codes, distinct = w.coded()
                 runs = [_LETTERS.findall(t.decode().lower()) for t in W.items(distinct)]
                 distinct_words = {x: i for i, x in enumerate(dict.fromkeys(x for r in runs for x in r))}
-                of_word = model.scores(list(distinct_words))
-                of_token = np.zeros((len(runs), len(model.langs)))
+                found = model.found(list(distinct_words))
                 token = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-                np.add.at(of_token, token, of_word[[distinct_words[x] for r in runs for x in r]] if len(token) else of_word[:0])
+                word = np.array([distinct_words[x] for r in runs for x in r], np.int64)
                 letters = np.array([bool(r) for r in runs] + [False])
                 rows = w.rows()
                 lettered = np.bincount(rows, weights=letters[codes], minlength=len(part)) > 0
-                total = np.stack([np.bincount(rows, weights=c[codes], minlength=len(part)) for c in of_token.T], axis=1) if model.langs else np.zeros((len(part), 0))
+                total = np.zeros((len(part), len(model.langs)))
+                for first in range(0, len(model.langs), ABREAST):
+                    of_word = model.scores(found, first)
+                    of_token = np.zeros((len(runs), of_word.shape[1]))
+                    np.add.at(of_token, token, of_word[word])
+                    for i, of in enumerate(of_token.T, first):
+                        total[:, i] = np.bincount(rows, weights=of[codes], minlength=len(part))
                 known = lettered & pc.is_valid(part["text"]).to_numpy(zero_copy_only=False) & bool(model.langs)
                 best, score = np.full(len(part), len(model.langs)), np.zeros(len(part))
                 if known.any():

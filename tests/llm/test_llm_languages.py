@@ -36,3 +36,19 @@ def test_nothing_learned(spark):
     got = languages.predicted(D.frame(spark, [(1, "the dog"), (2, None)]), languages.fit(none)).collect()
     assert {(r.lang_pred, r.score) for r in got} == {("und", 0.0)}
     assert languages.predicted(D.frame(spark, [(1, "a")]).limit(0), model(spark)).count() == 0
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(f"{a}{b}{a}{b} {b}{b}{a}", f"l{a}{b}") for a in "abcdefghijk" for b in "qrstuvwxyz"]
+    m = languages.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert m.langs == sorted(r[1] for r in rows) and len(m.langs) > languages.ABREAST
+    got = languages.predicted(D.frame(spark, list(enumerate(r[0] for r in rows))), m).collect()
+    assert len(got) == len(rows) and all(r.lang_pred == rows[r.doc_id][1] and r.score > 0.5 for r in got)
+
+
+def test_chosen_words_have_their_counts_in_all_languages(spark, monkeypatch):
+    monkeypatch.setattr(languages, "ENTRIES", 10)  # the most frequent word of each language
+    rows = [("aa " * 100 + "bb " * 50, "en"), ("bb bb " + " ".join(f"c{x}" for x in "abcdefghij"), "fr")]
+    m = languages.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(m.rows[0]) == {"aa", "bb"}
+    assert [r.lang_pred for r in languages.predicted(D.frame(spark, [(1, "bb")]), m).collect()] == ["en"]
