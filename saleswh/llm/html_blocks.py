@@ -1,7 +1,9 @@
 """HTML to blocks: the text runs between block-level tags, in page order, with their tag paths.
 
 A small tolerant scanner for use inside tasks.  Comments, declarations and the
-contents of scripts, styles and the like are no text.  Unclosed tags close as
+contents of scripts, styles and the like are no text, nor is what stands in
+drawings, media and choices (``HIDDEN``) up to their end tag or that of an
+element around them; of formulas the text stays.  Unclosed tags close as
 browsers close them where that matters for paths (``<p>``, ``<li>``, table
 cells); an end tag without a start tag is ignored.
 """
@@ -16,15 +18,24 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
 
-#: Contents that are never text.
-RAW = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "select", "textarea"}
+#: Contents that are no markup and never text, up to the end tag whatever stands before it.
+RAW = {"script", "style", "textarea", "iframe"}
+#: Elements whose text is never text of the page; other elements around them end them.
+HIDDEN = {"noscript", "template", "svg", "object", "canvas", "audio", "video", "select"}
+#: Elements that a ``/`` before the end of their start tag closes, and that start tags of ``BREAKS`` end, unless one of ``HOSTS`` stands between.
+FOREIGN = {"svg", "math"}
+BREAKS = {"blockquote", "body", "center", "dd", "div", "dl", "dt", "h1", "h2", "h3", "h4", "h5", "h6", "head", "hr", "li", "menu", "meta", "ol", "p", "pre", "table", "ul",
+          "b", "big", "br", "code", "em", "embed", "i", "img", "nobr", "ruby", "s", "small", "span", "strike", "strong", "sub", "sup", "tt", "u", "var"}
+HOSTS = {"foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
-          "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
+          "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "svg", "math"}
 #: A start tag closes an open one of these, unless a tag of the second kind stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _SCOPE = {"td", "th", "table", "button", "object", "html", "body", "article", "section", "div", "main", "li", "ul", "ol", "aside", "nav", "header", "footer", "form", "blockquote"}
+#: No start tag inside one of these closes an element outside.
+_WALLS = {"svg", "math", "template", "noscript", "object", "select"}
 
 
 class Block(NamedTuple):
@@ -45,7 +56,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, ...]] = []
     runs: list[str] = []
-    linked = at = 0
+    linked = at = hidden = formulas = 0
 
     def flush() -> None:
         nonlocal runs, linked
@@ -55,18 +66,33 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block(text, tuple(stack), min(1.0, linked / len(whole))))
             runs, linked = [], 0
 
+    def cut(i: int) -> None:
+        nonlocal hidden, formulas
+        for e in stack[i:]:
+            hidden -= e[0] in HIDDEN
+            formulas -= e[0] == "math"
+        del stack[i:]
+
     def close(tags: set[str], scope: set[str]) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in tags:
-                del stack[i:]
+                cut(i)
+                return
+            if stack[i][0] in scope or stack[i][0] in _WALLS:
+                return
+
+    def leave_foreign() -> None:
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in FOREIGN:
+                cut(i)
                 return
-            if stack[i][0] in scope:
+            if stack[i][0] in HOSTS:
                 return
 
     while at < len(page):
         m = _TAG.search(page, at)
         end = m.start() if m else len(page)
-        if end > at:
+        if end > at and not hidden:
             runs.append(page[at:end])
             if any(e[0] == "a" for e in stack):
                 linked += end - at
@@ -76,22 +102,30 @@ def blocks(page: str) -> list[Block]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if m[1]:
+            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), len(stack))
+            # the tags inside formulas and hidden elements part no blocks
+            inside = (hidden or formulas) and not any(e[0] in HIDDEN or e[0] == "math" for e in stack[i:])
+        else:
+            if (hidden or formulas) and tag in BREAKS:
+                leave_foreign()
+            inside = (hidden or formulas) and tag not in BREAKS
         if tag in ("br", "img"):
             runs.append(" ")
-        elif tag not in INLINE:
+        elif tag not in INLINE and not inside:
             flush()
         if m[1]:
-            if any(e[0] == tag for e in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            cut(i)
         elif tag in RAW:
             closing = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = closing.end() if closing else len(page)
-        elif tag not in VOID and not m[3].endswith("/"):
-            if tag not in INLINE:
+        elif tag not in VOID and (not m[3].endswith("/") or tag in HIDDEN - FOREIGN):
+            if tag not in INLINE and tag not in HIDDEN:
                 close({"p"}, _SCOPE)
             if tag in CLOSES:
                 close(*CLOSES[tag])
             stack.append(_element(tag, m[3]))
+            hidden += tag in HIDDEN
+            formulas += tag == "math"
     flush()
     return out

@@ -55,3 +55,16 @@ def test_other_sites_and_odd_pages(spark):
     assert by[4].text.count("\n") == 4 and "Home" not in by[4].text and "comment" not in by[4].text and by[None].text == by[4].text
     assert by[5].text.count("long text.") == 3000
     assert html_text.extracted(pages.limit(0), html_text.fit(table.limit(0))).count() == 0
+
+
+def test_hidden_elements_hide_their_own_content_only():
+    assert texts("<p>a <svg class=i/> b</p><p>c <svg viewBox='0 0 1 1' /> d</p><p>e") == ["a b", "c d", "e"]
+    assert texts("<p>a <svg><title>no</title><g><text>no</text><path d=x></g></svg>b</p>c") == ["a b", "c"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><math/>z") == ["Let x=1 be", "z"]
+    for tag in ("select", "video", "object", "canvas", "audio", "noscript", "template"):
+        assert texts(f"<div>a<{tag} id=x>no <b>no</b></{tag}>b</div>c") == ["a", "b", "c"]
+        assert texts(f"<article><div>a<{tag} id=x>no</div><p>b</p></article>c") == ["a", "b", "c"]
+        assert texts(f"<article><p>a<{tag}>no</p><p>b</article>c") == ["a", "b", "c"]
+    assert texts("<article><svg><path d=x><p>a</p>b</article>c") == ["a", "b", "c"]
+    assert texts("<p>a<svg><foreignObject><p>no</p><div>no</div></foreignObject></svg>b") == ["a", "b"]
+    assert texts("<video src=x /><track src=y>no</video>a<iframe src=x><p>no</iframe>b<select><option>no<option>no</select>c") == ["a", "b", "c"]
