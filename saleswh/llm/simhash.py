@@ -37,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswh.llm import words as W
 from saleswh.llm.graph import reachable_minimum
@@ -99,6 +100,16 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
 
 
+def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns, with ``_bits``."""
+    for batch in batches:
+        for a, b in W.slices(batch["text"]):
+            part = batch.slice(a, b - a)
+            texts = pc.fill_null(part["text"], "").cast(pa.binary()).to_pylist()
+            bits = majority([t.lower() for t in texts])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bits.view(np.int64))], names=[*batch.schema.names, "_bits"])
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and ``bits``, the fingerprint as a signed 64-bit integer."""
     return docs.select("doc_id", "text").mapInArrow(_fingerprint, f"doc_id {dict(docs.dtypes)['doc_id']}, bits long")
@@ -135,23 +146,36 @@ def links(bits: DataFrame) -> DataFrame:
     return found.union(_pairs(split, ["key", "fixed", "sub", "more"])).distinct()
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """(bits, root, component_id) for every different fingerprint: ``root`` is the smallest fingerprint of its component,
+    ``component_id`` the smallest ``doc_id``, null if no row of the component has one."""
+    classes = written(rows.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
+    pairs = links(classes.select("bits"))
+    reached = reachable_minimum(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    rooted = classes.join(reached, classes["bits"] == reached["node"], "left").select("bits", F.coalesce("root", "bits").alias("root"), "least_id")
+    ids = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return rooted.join(ids, "root").select("bits", "root", "component_id")
+
+
 def components(docs: DataFrame) -> DataFrame:
     """For each row of ``docs``: doc_id, ``bits`` and ``component_id``."""
     rows = written(fingerprints(docs), "simhash")
-    classes = written(rows.groupBy("bits").agg(F.min("doc_id").alias("node")), "simhash-classes")
-    pairs = links(classes.select("bits"))
-    a, b = classes.select(F.col("bits").alias("a"), F.col("node").alias("u")), classes.select(F.col("bits").alias("b"), F.col("node").alias("v"))
-    edges = pairs.join(a, "a").join(b, "b").where("u is not null and v is not null").select("u", "v")
-    reached = reachable_minimum(edges)
-    named = classes.join(reached, classes["node"] == reached["node"], "left") \
-        .select("bits", F.coalesce(reached["root"], classes["node"]).alias("component_id"))
-    return rows.join(named, "bits").select("doc_id", "bits", "component_id")
+    return rows.join(_named(rows), "bits").select("doc_id", "bits", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` names their component: one document of each group, all columns as they were.
 
-    Repeated rows of that ``doc_id`` and rows without a ``doc_id`` all stay.
+    Repeated rows of that ``doc_id`` all stay.  Of a group without any
+    ``doc_id`` one row stays, the first by text.
     """
-    others = components(docs).where("doc_id <> component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    rows = written(fingerprints(docs), "simhash")
+    named = written(_named(rows), "simhash-named")
+    others = rows.join(named, "bits").where("doc_id <> component_id").select("doc_id")
+    kept = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").select(docs.columns)
+    nameless = docs.where("doc_id is null")
+    schema = T.StructType([*nameless.schema.fields, T.StructField("_bits", T.LongType())])
+    nameless = written(nameless.mapInArrow(_fingerprinted, schema).withColumn("_row", F.monotonically_increasing_id()), "simhash-nameless")
+    free = named.where("component_id is null").select(F.col("bits").alias("_bits"), "root")
+    first = nameless.join(free, "_bits").groupBy("root").agg(F.min(F.struct("text", "_row")).alias("first")).select("first._row")
+    return kept.unionByName(nameless.join(first, "_row", "left_semi").select(docs.columns))

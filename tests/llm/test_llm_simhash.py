@@ -83,3 +83,17 @@ def test_query_digest(spark):
     assert got.count() == docs.count() and got.where(F.length("fingerprint") != 16).count() == 0
     for r in got.join(docs, "doc_id").limit(50).collect():
         assert r.fingerprint == f"{fingerprint(r.text):016x}"
+
+
+def test_rows_without_id_link_groups(spark, monkeypatch):
+    rows = [(5, 0), (None, 0b111), (2, 0b111111), (None, 0b111111111), (None, 1 << 40 | 1 << 50 | 1 << 60 | 1 << 20), (8, -1)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs: spark.createDataFrame(rows, "doc_id long, bits long"))
+    got = {r.bits: r.component_id for r in simhash.components(D.frame(spark, [(1, "x")])).collect()}
+    assert got == {0: 2, 0b111: 2, 0b111111: 2, 0b111111111: 2, rows[4][1]: None, -1: 8}
+
+
+def test_one_row_of_each_group_without_ids(spark):
+    a, b, c = (D.sentences(i, 100) for i in (1, 2, 3))
+    docs = D.frame(spark, [(3, a), (3, a), (None, a), (None, b), (None, b), (None, b.upper()), (None, c)])
+    got = [(r.doc_id, r.text) for r in simhash.representatives(docs).collect()]
+    assert sorted(got, key=str) == sorted([(3, a), (3, a), (None, b.upper()), (None, c)], key=str)
