@@ -20,7 +20,7 @@ stated confidence:
 By the union bound, in every stratum at most ``RISK`` of the good documents
 are rejected by any rule, in all strata at once with probability
 ``1 - ERROR``.  With too few labels nothing can be certified, and then only
-the base rules reject.
+the base rules reject; so it is in a language without labels.
 
 Defined results: a null or empty text has no words and fails the base rules;
 null ``lang`` is the stratum ``-``; labels that are null or contradict each
@@ -50,8 +50,6 @@ if TYPE_CHECKING:
 
 #: Good documents that the learned rules may reject in a stratum, and the probability that a stratum has more.
 RISK, ERROR = 0.05, 0.05
-#: Languages with the most labels that are strata of their own; others share the stratum ``other``.
-STRATA = 32
 #: Base rules: too few words, too many words in repeated 5-word windows.
 LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED = 10, 5, 0.2
 SYMBOLS = b"#*$%&|<>"
@@ -169,14 +167,14 @@ def pick_cutoff(counts: pd.DataFrame, cutoffs: list[float], risk: float, error:
     return best
 
 
-def _beyond(rule: str, cutoff: float) -> Column:
+def _beyond(rule: str, cutoff: float | Column) -> Column:
     feature, high, _ = RULES[rule]
     return F.col(feature) > cutoff if high else F.col(feature) < cutoff
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> dict[tuple[str, str], float]:
-    """(stratum, rule) -> cutoff.  What comes to the driver is one count for each stratum, rule and cutoff:
-    at most ``STRATA + 1`` strata, whatever the input."""
+    """(stratum, rule) -> cutoff.  Every language is a stratum, evaluated in a task; what comes to the driver is the
+    cutoffs that hold."""
     one = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id") \
         .agg(F.min("quality").alias("good"), F.max("quality").alias("other")).where("good = other").drop("other")
     rows = measured.where("not base_failed").join(one, "doc_id")
@@ -186,23 +184,27 @@ def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, error
     exact = rows.select("stratum", "good", holdout, F.explode(bins).alias("b")) \
         .groupBy("stratum", "b.rule", "b.beyond", "good", "holdout").agg(F.count(F.lit(1)).alias("n"))
     exact = written(exact, "quality-counts")
-    top = [r[0] for r in exact.groupBy("stratum").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "stratum").limit(STRATA).collect()]
-    merged = F.when(F.col("stratum").isin(top), F.col("stratum")).otherwise(F.lit("other")) if top else F.lit("other")
-    counts = exact.groupBy(merged.alias("stratum"), "rule", "beyond", "good", "holdout").agg(F.sum("n").alias("n")).toPandas()
-    found, tests = {}, max(1, counts["stratum"].nunique() * len(RULES))
-    for (stratum, rule), part in counts.groupby(["stratum", "rule"]):
-        if (cutoff := pick_cutoff(part, RULES[rule][2], risk / len(RULES), error / tests)) is not None:
-            found[stratum, rule] = cutoff
-    found.update({(s, ""): 0.0 for s in top})  # strata of their own, also those without a rule
-    return found
+    tests = max(1, exact.select("stratum").distinct().count() * len(RULES))
+
+    def pick(counts: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
+        rule = counts["rule"].iloc[0]
+        cutoff = pick_cutoff(counts, RULES[rule][2], risk / len(RULES), error / tests)
+        rows = [] if cutoff is None else [(counts["stratum"].iloc[0], rule, cutoff)]
+        return pd.DataFrame(rows, columns=["stratum", "rule", "cutoff"])
+
+    found = exact.groupBy("stratum", "rule").applyInPandas(pick, "stratum string, rule string, cutoff double")
+    return {(r["stratum"], r["rule"]): r["cutoff"] for r in found.collect()}
 
 
 def _verdicts(measured: DataFrame, cutoffs: dict[tuple[str, str], float]) -> DataFrame:
-    own = [s for s, rule in cutoffs if not rule]
-    stratum = F.when(F.col("stratum").isin(own), F.col("stratum")).otherwise(F.lit("other")) if own else F.lit("other")
-    hits = [F.when((stratum == s) & _beyond(rule, c), F.lit(rule)) for (s, rule), c in sorted(cutoffs.items()) if rule]
-    by = F.coalesce(*hits) if hits else F.lit(None).cast("string")
-    return measured.select("*", F.when(F.col("base_failed"), F.lit("base")).otherwise(by).alias("rejected_by")) \
+    rules = sorted(RULES)
+    rows = [(s, *(cutoffs.get((s, rule)) for rule in rules)) for s in sorted({s for s, _ in cutoffs})]
+    names = {rule: f"_cutoff{i}" for i, rule in enumerate(rules)}
+    table = measured.sparkSession.createDataFrame(rows, ", ".join(["stratum string", *(f"{c} double" for c in names.values())]))
+    by = F.coalesce(*(F.when(_beyond(rule, F.col(c)), F.lit(rule)) for rule, c in names.items()))
+    return measured.join(F.broadcast(table), "stratum", "left").select(*(measured.columns), F.when(F.col("base_failed"), F.lit("base")).otherwise(by).alias("rejected_by")) \
         .withColumn("kept", F.col("rejected_by").isNull())
 
 

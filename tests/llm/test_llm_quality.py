@@ -81,3 +81,14 @@ def test_without_labels_only_base_rules(spark):
     got = quality.judged(D.frame(spark, [(1, D.sentences(1, 30).replace(" ", " ## ")), (2, "a b")]), none).collect()
     assert {(r.doc_id, r.rejected_by) for r in got} == {(1, None), (2, "base")}
     assert quality.judged(D.frame(spark, [(1, "a")]).limit(0), none).count() == 0
+
+
+def test_every_language_is_a_stratum(spark):
+    # 32 large languages; x has bad documents of long words, y is small and clean, with long words
+    lang = "case when id < 128000 then concat('l', id % 32) when id < 131500 then 'x' else 'y' end as stratum"
+    bad = "id >= 131000 and id < 131500"
+    measured = spark.range(131503).selectExpr("id as doc_id", lang, "false as base_failed", "0D as symbols_per_word", "0D as repeated_lines", "0D as repeated_words",
+                                              "case when id >= 131000 then 13D else 5D end as word_length")
+    labels = spark.range(131503).selectExpr("id as doc_id", f"cast(not ({bad}) as int) as quality")
+    got = quality._verdicts(measured, quality.thresholds(measured, labels)).where("id >= 131000".replace("id", "doc_id")).groupBy("stratum", "kept").count().collect()
+    assert {tuple(r) for r in got} == {("x", False, 500), ("y", True, 3)}
