@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from saleswh.functions.sap import epoch_ms, to_odata_date
 from saleswh.operators.sizing import small
@@ -213,13 +212,15 @@ ITEM_TIEBREAK = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 def bronze_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sales_order_item bronze rows (all text), anomalies on the lowest line.
 
-    ``min(l_linenumber) over (partition by l_orderkey)`` shuffles on the
-    order key, the same key the item-header join uses later.
+    The lowest line of an order is a partial aggregate joined back, so no
+    order is sorted in one task.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
                "l_quantity", "l_extendedprice", "l_linestatus", "l_returnflag", "l_shipdate")
-    lowest = F.col("l_linenumber") == F.min("l_linenumber").over(Window.partitionBy("l_orderkey"))
     code = F.col("l_orderkey") % 200
+    least = li.where(code.isin(0, 1, 2)).groupBy("l_orderkey").agg(F.min("l_linenumber").alias("_lowest"))
+    li = li.join(least, "l_orderkey", "left")
+    lowest = F.col("l_linenumber") == F.col("_lowest")
     q = F.col("l_quantity")
     dec2 = lambda c: c.cast("decimal(18,2)").cast("string")
     dec3 = lambda c: c.cast("decimal(18,3)").cast("string")
@@ -261,11 +262,9 @@ def header_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     tie-break; partial aggregation happens before the order-key shuffle.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", *ITEM_TIEBREAK)
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        *[F.col(c).desc_nulls_last() for c in ITEM_TIEBREAK])
-    latest = li.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
+    latest = li.groupBy("l_orderkey", "l_linenumber").agg(F.max(F.struct(*ITEM_TIEBREAK)).alias("_last"))
     return latest.groupBy("l_orderkey").agg(
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("items_total"))
+        F.sum(F.col("_last.l_extendedprice").cast("decimal(18,2)")).alias("items_total"))
 
 
 def bronze_headers(spark: SparkSession, sf_dir: str) -> DataFrame:

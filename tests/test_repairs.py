@@ -160,3 +160,9 @@ def test_auto_ingest_by_name(spark, scratch):
     report = runner.auto_ingest(spark, entities, f"{scratch}/raw", f"{scratch}/ck", f"{scratch}/t")
     assert [r["status"] for r in report] == ["OK", "ERROR"]
     assert [(r.ID, r.NAME) for r in spark.read.parquet(f"{scratch}/t/customers").collect()] == [(7, "x")]
+
+
+def test_no_window_sorts_the_lines_of_an_order(spark):
+    from saleswh.sources import bridge
+    for frame in (bridge.bronze_items(spark, "/root/testdata/sf0.001"), bridge.header_totals(spark, "/root/testdata/sf0.001")):
+        assert "Window" not in frame._jdf.queryExecution().optimizedPlan().toString()
