@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import chat, decontaminate, html_text, languages, packing, quality, simhash, substrings, tokens, urls
+from saleswh.llm import chat, decontaminate, html_text, languages, neighbours, packing, quality, simhash, substrings, tokens, urls
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,9 @@ SELECT conv_id, participant, part, CAST(0 AS BIGINT) AS sub, count(*) AS n_messa
   coalesce(string_agg(CAST(start AS BIGINT) || ':' || size, ',' ORDER BY turn, speaker, body) FILTER (WHERE speaker = participant), '') AS mask
 FROM placed GROUP BY conv_id, participant, part
 """
+
+
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
