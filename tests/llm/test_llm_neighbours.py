@@ -10,13 +10,21 @@ from saleswh.llm.queries import QUERIES
 SCHEMA = "vec_id long, embedding array<double>, score string, leaf int"
 
 
+def product(a, b):
+    """In order of the components; ``sum`` would correct its rounding."""
+    out = 0.0
+    for x, y in zip(a, b):  # noqa: B905
+        out += x * y
+    return out
+
+
 def brute(rows, k):
     """(query_id, rank, vec_id, score) of the definition, for rows that take part; a list for each query row."""
     rows = [(i, [float(x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = []
     for n, (q, a) in enumerate(rows):
         if q % 20 == 0:
-            scored = sorted((-sum((x * y for x, y in zip(a, b)), 0.0), i) for m, (i, b) in enumerate(rows) if m != n)  # noqa: B905
+            scored = sorted((-product(a, b), i) for m, (i, b) in enumerate(rows) if m != n)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
