@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswh.llm import chat, decontaminate, html_text, languages, neighbours, packing, quality, simhash, substrings, tokens, urls
+from saleswh.llm import chat, collocations, decontaminate, html_text, languages, neighbours, packing, quality, repair, simhash, substrings, tokens, urls
 from saleswh.llm.tables import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,42 @@ FROM placed GROUP BY conv_id, participant, part
 def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_phrase_collocations"] = r"""
+WITH words AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^ \t]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+runs AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) AS sizes(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 30),
+found AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+inner_runs AS (SELECT lang, a, w, m, s, unnest(range(1, m - s + 2)) AS i FROM found, (VALUES (2), (3)) AS shorter(s) WHERE s < m),
+around AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer FROM inner_runs GROUP BY ALL),
+kept AS (SELECT found.* FROM found LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, p.f AS l, q.f AS r, (2000000::HUGEINT * a) // (p.f + q.f)::HUGEINT AS score
+  FROM cuts JOIN f p ON p.lang = cuts.lang AND p.phrase = array_to_string(w[1:k], ' ')
+  JOIN f q ON q.lang = cuts.lang AND q.phrase = array_to_string(w[k + 1:m], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""".replace("\\", "\")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, audit and digest of every conversation, damaged and repaired."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = repair.audited(repair.damaged(given)).withColumnRenamed("conv_id", "g")
+    every = given.select("conv_id").distinct().join(fixed, F.col("conv_id").eqNullSafe(F.col("g")), "left")
+    longs = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *longs, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))

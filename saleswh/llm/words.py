@@ -140,6 +140,15 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def gram_hashes_of(rows: np.ndarray) -> np.ndarray:
+    """What ``gram_hashes`` gives for each row of hashes as a run of its own."""
+    out = np.zeros(len(rows), np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(rows.shape[1]):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + rows[:, i]
+    return mix(out)
+
+
 def inside(first: np.ndarray, n: int) -> np.ndarray:
     """Whether the run of ``n`` words that begins at each place ends in the same text."""
     total = int(first[-1])
