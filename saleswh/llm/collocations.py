@@ -2,9 +2,9 @@
 
 A HAT-trie is a shallow trie over word ids whose leaves are hash containers: a
 container holds the rest of its phrases with their counts and, when it grows
-beyond ``BURST`` phrases, bursts into an inner node with a container for each
+beyond ``Limits.burst`` phrases, bursts into an inner node with a container for each
 next word.  A task counts the phrases of its texts in one trie for each
-language.  Beyond ``HELD`` phrases it spills whole subtrees, the largest first,
+language.  Beyond ``Limits.held`` phrases it spills whole subtrees, the largest first,
 as runs sorted by phrase.  A run is cut by prefix partition (a hash of all words
 but the last), and the runs of each partition are merged block by block.
 
@@ -21,7 +21,7 @@ Scale: what is shuffled are distinct phrases of a task, not occurrences.
 Partitions follow the text's size (``PARTITION_BYTES``).  A prefix that begins
 over 1/``HOT`` of all words is dealt by whole phrases instead, so the
 successors of a very common word spread over all partitions; there can be no
-more than ``HOT`` such prefixes.  Texts beyond ``words.SLICE_BYTES`` are cut at
+more than ``HOT`` such prefixes.  Texts beyond ``Limits.slice_bytes`` are cut at
 separators.  A language is never gathered in one task: its first phrases are
 chosen in each task before they meet.
 
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,15 +49,26 @@ from saleswh.llm.tables import written
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: A phrase goes if a longer one around it has this share of its count, in hundredths.
 SHARE = 80
-BURST, HELD = 4096, 400_000
 FILTER_BITS, BLOCK_BITS = 1 << 27, 1 << 19
 PARTITION_BYTES, HOT = 16 << 20, 4096
-#: Phrases of a run that are merged at once, and bits of a word id.
-MERGED, ID_BITS = 1 << 16, 21
+#: Bits of a word id.
+ID_BITS = 21
 
 _ASCII = np.arange(256)
 SEPARATOR = np.isin(_ASCII, [*b".,;:!?", *range(0x0A, 0x0E)])
 IN_WORD = ~(SEPARATOR | (_ASCII == 0x20) | (_ASCII == 0x09))
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Phrases of a container before it bursts, of a task's tries before they spill, and of a run that are merged at once."""
+
+    burst: int = 4096
+    held: int = 400_000
+    merged: int = 1 << 16
+    slice_bytes: int = W.SLICE_BYTES
+
+
 RUN = "bucket int, lang string, total long, phrases array<string>, counts array<long>"
 
 
@@ -69,19 +81,38 @@ class Container:
 
 
 class Inner:
+    """A container or another inner node for each next word."""
+
     def __init__(self, depth: int):
         self.depth, self.below = depth, {}
 
 
+def sorted_counts(node: Container) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.fromiter(node.counts.keys(), np.int64, len(node.counts))
+    counts = np.fromiter(node.counts.values(), np.int64, len(node.counts))
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
 class HatTrie:
-    """Counts of phrases of ``n`` word ids; a phrase is a number with ``ID_BITS`` bits for each word."""
+    """Counts of phrases of ``n`` word ids: a subtree for each first word, below it what follows, ``ID_BITS`` bits a word.
+
+    Single words have nothing below them, so they are one container.
+    """
 
-    def __init__(self, n: int):
-        self.n, self.held, self.root = n, 0, Container(0)
+    def __init__(self, n: int, burst: int):
+        self.n, self.burst, self.held = n, burst, 0
+        self.root: dict[int, Container | Inner] = {}
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """``keys`` ascending and distinct."""
-        self.root = self._put(self.root, keys, counts)
+    def add(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
+        """Different phrases, in order."""
+        if self.n == 1:
+            self.root[0] = self._put(self.root.get(0) or Container(1), first, counts)
+            return
+        edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1))
+        for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):  # noqa: B905
+            w = int(first[a])
+            self.root[w] = self._put(self.root.get(w) or Container(1), rest[a:z], counts[a:z])
 
     def _put(self, node: Container | Inner, keys: np.ndarray, counts: np.ndarray) -> Container | Inner:
         if isinstance(node, Container):
@@ -89,51 +120,43 @@ class HatTrie:
             for k, c in zip(keys.tolist(), counts.tolist()):  # noqa: B905
                 have[k] = have.get(k, 0) + c
             self.held += len(have) - before
-            if len(have) <= BURST or node.depth == self.n - 1:
+            if len(have) <= self.burst or node.depth >= self.n - 1:
                 return node
             self.held -= len(have)
-            keys, counts = self._sorted(node)
+            keys, counts = sorted_counts(node)
             node = Inner(node.depth)
-        rest = ID_BITS * (self.n - 1 - node.depth)
-        word = keys >> rest
+        bits = ID_BITS * (self.n - 1 - node.depth)
+        word, tails = keys >> bits, keys & ((1 << bits) - 1)
         edges = np.flatnonzero(np.diff(word, prepend=-1, append=-1))
-        tails = keys & ((1 << rest) - 1)
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):  # noqa: B905
             w = int(word[a])
-            child = node.below.get(w) or Container(node.depth + 1)
-            node.below[w] = self._put(child, tails[a:z], counts[a:z])
+            node.below[w] = self._put(node.below.get(w) or Container(node.depth + 1), tails[a:z], counts[a:z])
         return node
 
-    @staticmethod
-    def _sorted(node: Container) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.fromiter(node.counts.keys(), np.int64, len(node.counts))
-        counts = np.fromiter(node.counts.values(), np.int64, len(node.counts))
-        order = np.argsort(keys)
-        return keys[order], counts[order]
-
-    def _all(self, node: Container | Inner, prefix: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _all(self, node: Container | Inner, prefix: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if isinstance(node, Container):
-            keys, counts = self._sorted(node)
-            yield keys + (prefix << (ID_BITS * (self.n - node.depth))), counts
+            keys, counts = sorted_counts(node)
+            yield keys + (prefix << (ID_BITS * (self.n - node.depth)) if prefix else 0), counts
         else:
             for w, child in node.below.items():
                 yield from self._all(child, prefix << ID_BITS | w)
 
     def spilled(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
-        """Whole subtrees, the largest first, until at most ``leave`` phrases are left: their phrases and counts."""
-        if isinstance(self.root, Container) or not leave:
-            taken = list(self._all(self.root, 0))
-            self.root, self.held = Container(0), 0
-        else:
-            trees = sorted(((w, list(self._all(child, w))) for w, child in self.root.below.items()), key=lambda t: -sum(len(k) for k, _ in t[1]))
-            taken = []
-            for w, parts in trees:
-                if self.held <= leave:
-                    break
-                taken += parts
-                self.held -= sum(len(k) for k, _ in parts)
-                del self.root.below[w]
-        return (np.concatenate([k for k, _ in taken]), np.concatenate([c for _, c in taken])) if taken else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        """Whole subtrees, the largest first, until at most ``leave`` phrases are left: their word ids, a row each, and counts."""
+        trees = [(w, list(self._all(node))) for w, node in self.root.items()]
+        trees.sort(key=lambda t: -sum(len(k) for k, _ in t[1]))
+        ids, counts = [np.zeros((0, self.n), np.int64)], [np.zeros(0, np.int64)]
+        for w, parts in trees:
+            if self.held <= leave:
+                break
+            del self.root[w]
+            for keys, n in parts:
+                self.held -= len(keys)
+                shifts = ID_BITS * np.arange(self.n - 2, -1, -1)
+                rows = (keys[:, None] >> shifts) & ((1 << ID_BITS) - 1)
+                ids.append(keys[:, None] if self.n == 1 else np.column_stack([np.full(len(keys), w), rows]))
+                counts.append(n)
+        return np.concatenate(ids), np.concatenate(counts)
 
 
 class Vocabulary:
@@ -154,18 +177,18 @@ class Vocabulary:
 
 
 # ------------------------------------------------------------------ texts
-def pieces(column: pa.Array) -> Iterator[pa.Array]:
+def pieces(column: pa.Array, most: int) -> Iterator[pa.Array]:
     """The texts in slices; one that is longer than a slice is cut after separators."""
-    for a, z in W.slices(column):
+    for a, z in W.slices(column, most):
         part = column.slice(a, z - a)
         size = pc.binary_length(part[0]).as_py() if z - a == 1 else 0
-        if (size or 0) <= W.SLICE_BYTES:
+        if (size or 0) <= most:
             yield part
             continue
         raw, _ = W.text_bytes(part)
         cuts, start = np.flatnonzero(SEPARATOR[raw]) + 1, 0
         while start < len(raw):
-            later = cuts[np.searchsorted(cuts, start + W.SLICE_BYTES):][:1]
+            later = cuts[np.searchsorted(cuts, start + most):][:1]
             end = int(later[0]) if len(later) else len(raw)
             yield pa.array([raw[start:end].tobytes()], pa.large_binary())
             start = end
@@ -191,28 +214,27 @@ def seed_of(lang: str) -> np.uint64:
 
 
 def passes(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h & np.uint64(FILTER_BITS - 1)
+    at = h & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def phrases_of(keys: np.ndarray, n: int, words: pa.Array) -> pa.Array:
-    columns = [words.take(pa.array((keys >> (ID_BITS * (n - 1 - i))) & ((1 << ID_BITS) - 1))) for i in range(n)]
-    return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if n > 1 else columns[0]
+def phrases_of(ids: np.ndarray, words: pa.Array) -> pa.Array:
+    columns = [words.take(pa.array(column)) for column in ids.T]
+    return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if len(columns) > 1 else columns[0]
 
 
-def _counter(n: int, buckets: int, bitmap, hot: np.ndarray):
+def _counter(n: int, buckets: int, bitmap, hot: np.ndarray, limits: Limits):
     """Texts and languages to sorted runs of phrases of ``n`` words; ``bitmap``: what is frequent of length ``n - 1``."""
 
     def run_rows(lang: str, trie: HatTrie, leave: int, seen: int, vocabulary: Vocabulary) -> pa.RecordBatch:
-        keys, counts = trie.spilled(leave)
-        h = np.array(vocabulary.hashes, np.uint64)
-        ids = np.stack([(keys >> (ID_BITS * (n - 1 - i))) & ((1 << ID_BITS) - 1) for i in range(n)], axis=1)
-        seed = seed_of(lang)
-        whole = W.gram_hashes_of(h[ids]) ^ seed if len(keys) else np.zeros(0, np.uint64)
-        prefix = W.gram_hashes_of(h[ids[:, :-1]]) ^ seed if n > 1 and len(keys) else whole
-        prefix = np.where(np.isin(prefix, hot), whole, prefix) if n > 1 else whole
+        ids, counts = trie.spilled(leave)
+        h, seed = np.array(vocabulary.hashes, np.uint64), seed_of(lang)
+        prefix = whole = W.gram_hashes_of(h[ids]) ^ seed
+        if n > 1:
+            prefix = W.gram_hashes_of(h[ids[:, :-1]]) ^ seed
+            prefix = np.where(np.isin(prefix, hot), whole, prefix)
         bucket = (W.mix(prefix) % np.uint64(buckets)).astype(np.int32)
-        text = phrases_of(keys, n, pa.array(list(vocabulary.ids), pa.large_binary())).cast(pa.large_string())
+        text = phrases_of(ids, pa.array(list(vocabulary.ids), pa.large_binary())).cast(pa.large_string())
         order = pc.sort_indices(pa.table({"bucket": bucket, "text": text}), sort_keys=[("bucket", "ascending"), ("text", "ascending")]).to_numpy()
         bucket, counts = bucket[order], counts[order]
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -242,8 +264,8 @@ def _counter(n: int, buckets: int, bitmap, hot: np.ndarray):
             langs = pc.fill_null(batch["lang"], "und")
             for lang in pc.unique(langs).to_pylist():
                 texts = batch["text"].filter(pc.equal(langs, lang))
-                trie = tries.setdefault(lang, HatTrie(n))
-                for part in pieces(texts):
+                trie = tries.setdefault(lang, HatTrie(n, limits.burst))
+                for part in pieces(texts, limits.slice_bytes):
                     code, distinct, piece = tokens(part)
                     seen[lang] = seen.get(lang, 0) + len(code)
                     if len(code) < n:
@@ -257,27 +279,31 @@ def _counter(n: int, buckets: int, bitmap, hot: np.ndarray):
                     kinds, local = np.unique(used, return_inverse=True)
                     if not len(kinds):
                         continue
-                    if len(vocabulary.ids) + len(kinds) >= 1 << ID_BITS or len(vocabulary.ids) > 2 * HELD:
+                    if len(vocabulary.ids) + len(kinds) >= 1 << ID_BITS or len(vocabulary.ids) > 2 * limits.held:
                         yield from spill(0)
                         vocabulary = Vocabulary()
                     ids = vocabulary.of(W.items(distinct.take(pa.array(kinds))), hashes[kinds])[local.reshape(used.shape)]
-                    keys = np.zeros(len(ids), np.int64)
-                    for i in range(n):
-                        keys = keys << ID_BITS | ids[:, i]
-                    trie.add(*np.unique(keys, return_counts=True))
-                    if sum(t.held for t in tries.values()) > HELD:
-                        yield from spill(HELD // 2)
+                    rest = np.zeros(len(ids), np.int64)
+                    for i in range(1, n):
+                        rest = rest << ID_BITS | ids[:, i]
+                    first = ids[:, 0]
+                    order = np.lexsort((rest, first))
+                    first, rest = first[order], rest[order]
+                    at = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])))
+                    trie.add(first[at], rest[at], np.diff(at, append=len(first)))
+                    if sum(t.held for t in tries.values()) > limits.held:
+                        yield from spill(limits.held // 2)
         yield from spill(0)
 
     return count
 
 
-def merged(runs: list[tuple[pa.Array, np.ndarray]]) -> Iterator[pa.Table]:
+def merged(runs: list[tuple[pa.Array, np.ndarray]], most: int) -> Iterator[pa.Table]:
     """The distinct phrases of sorted runs with the sums of their counts, in order, block by block."""
     at = [0] * len(runs)
     while left := [i for i, (p, _) in enumerate(runs) if at[i] < len(p)]:
         # no run has more than a block up to the first of the blocks' last phrases
-        stop = min(runs[i][0][min(at[i] + MERGED, len(runs[i][0])) - 1].as_py() for i in left)
+        stop = min(runs[i][0][min(at[i] + most, len(runs[i][0])) - 1].as_py() for i in left)
         parts = []
         for i in left:
             phrases, counts = runs[i]
@@ -287,7 +313,7 @@ def merged(runs: list[tuple[pa.Array, np.ndarray]]) -> Iterator[pa.Table]:
         yield pa.concat_tables(parts).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
 
 
-def _merger(least: int):
+def _merger(least: int, limits: Limits):
     def merge(table: pa.Table) -> pa.Table:
         out = []
         for lang in pc.unique(table["lang"]).to_pylist():
@@ -295,7 +321,7 @@ def _merger(least: int):
             # the word count of a language rides along, as a row without a phrase
             out.append(pa.table({"lang": [lang], "phrase": pa.array([None], pa.large_binary()), "f": [pc.sum(own["total"]).as_py()]}))
             runs = [(p.values.cast(pa.large_binary()), c.values.to_numpy()) for p, c in zip(own["phrases"], own["counts"], strict=True) if len(p)]
-            for block in merged(runs):
+            for block in merged(runs, limits.merged):
                 block = block.filter(pc.greater_equal(block["f"], least))
                 out.append(pa.table({"lang": pa.array([lang] * len(block), pa.string()), "phrase": block["phrase"], "f": block["f"]}))
         whole = pa.concat_tables(out)
@@ -336,7 +362,7 @@ def _bitmap(frequent: DataFrame, n: int) -> bytes:
     return out.tobytes()
 
 
-def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[list[DataFrame], DataFrame]:
+def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, limits: Limits = Limits()) -> tuple[list[DataFrame], DataFrame]:
     """The phrases of 1, 2, ... ``longest`` words that occur ``least`` times, (lang, phrase, f), and (lang, n): all words."""
     spark = docs.sparkSession
     docs = docs.select("text", "lang")
@@ -345,8 +371,8 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     out: list[DataFrame] = []
     bitmap, hot, totals = None, np.zeros(0, np.uint64), None
     for n in range(1, longest + 1):
-        runs = docs.mapInArrow(_counter(n, buckets, bitmap, hot), RUN)
-        both = written(runs.groupBy("bucket").applyInArrow(_merger(least), "lang string, phrase string, f long"), f"phrases-{n}")
+        runs = docs.mapInArrow(_counter(n, buckets, bitmap, hot, limits), RUN)
+        both = written(runs.groupBy("bucket").applyInArrow(_merger(least, limits), "lang string, phrase string, f long"), f"phrases-{n}")
         out.append(both.where("phrase is not null"))
         if n == 1:
             totals = written(both.where("phrase is null").groupBy("lang").agg(F.sum("f").alias("n")).where("n > 0"), "phrase-totals")
@@ -358,9 +384,9 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     return out, totals
 
 
-def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, share: int = SHARE) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, share: int = SHARE, limits: Limits = Limits()) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    frequent, totals = counted(docs, least, longest)
+    frequent, totals = counted(docs, least, longest, limits)
     parts = frequent[0]
     for f in frequent[1:]:
         parts = parts.union(f)

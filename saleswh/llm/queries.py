@@ -181,7 +181,7 @@ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phra
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
 SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
-""".replace("\\", "\")
+"""
 
 
 @query

@@ -107,22 +107,29 @@ def _before(i: int, s: int, letters: list[str], bad: list[str]) -> Iterator[tupl
 def cheapest(letters: list[str], bad: list[str], start: int = NOTHING, ends: tuple = (NOTHING, ASSISTANT)) -> tuple[int, str] | None:
     """Cost and audit of the cheapest edits from one state to one of the others, the least audit of them."""
     n = len(letters)
-    heaps = ([(0, 0, start)], [(0, n, e) for e in ends])
+    heaps: tuple[list, list] = ([], [])
     known = ({(0, start): 0}, {(n, e): 0 for e in ends})
     settled: tuple[dict, dict] = ({}, {})
     steps = (_after, _before)
     met = float("inf")
-    while heaps[0] and heaps[1] and heaps[0][0][0] + heaps[1][0][0] <= met:
-        way = int((heaps[1][0][0], len(settled[1])) < (heaps[0][0][0], len(settled[0])))
-        cost, i, s = heappop(heaps[way])
-        if (i, s) in settled[way]:
-            continue
+
+    def settle(way: int, cost: int, i: int, s: int) -> None:
+        nonlocal met
         settled[way][i, s] = cost
         met = min(met, cost + known[1 - way].get((i, s), met))
         for j, t, more, _ in steps[way](i, s, letters, bad):
             if cost + more < known[way].get((j, t), cost + more + 1):
                 known[way][j, t] = cost + more
                 heappush(heaps[way], (cost + more, j, t))
+
+    settle(0, 0, 0, start)
+    for e in ends:
+        settle(1, 0, n, e)
+    while heaps[0] and heaps[1] and heaps[0][0][0] + heaps[1][0][0] <= met:
+        way = int((heaps[1][0][0], len(settled[1])) < (heaps[0][0][0], len(settled[0])))
+        cost, i, s = heappop(heaps[way])
+        if (i, s) not in settled[way]:
+            settle(way, cost, i, s)
     if met == float("inf"):
         return None
     # the least edits to (from) each settled node, over edges that cost no more than they must; only keeping is free,

@@ -8,7 +8,6 @@ import pyarrow as pa
 import pytest
 
 from saleswh.llm import collocations as C
-from saleswh.llm import words as W
 
 SCHEMA = "doc_id long, text string, lang string, phrase string, n long"
 
@@ -58,12 +57,11 @@ def test_equal_to_a_plain_count(spark):
 
 
 def test_spills_bursts_cuts_and_common_prefixes_change_nothing(spark, monkeypatch):
-    for name, value in {"BURST": 3, "HELD": 40, "PARTITION_BYTES": 2000, "HOT": 8, "MERGED": 5, "FILTER_BITS": 1 << 9, "BLOCK_BITS": 1 << 7}.items():
+    for name, value in {"PARTITION_BYTES": 2000, "HOT": 8, "FILTER_BITS": 1 << 9, "BLOCK_BITS": 1 << 7}.items():
         monkeypatch.setattr(C, name, value)
-    monkeypatch.setattr(W, "SLICE_BYTES", 300)
-    monkeypatch.setattr(W.slices, "__defaults__", (300,))
     rows = prose(150, 2) + [("en", " ".join(["new york times."] * 400)), ("en", "the of " * 300)]
-    assert mined(spark, rows, least=6) == brute(rows, least=6)
+    small = C.Limits(burst=3, held=40, merged=5, slice_bytes=300)
+    assert mined(spark, rows, least=6, limits=small) == brute(rows, least=6)
 
 
 def test_first_phrases_only_with_ties(spark):
@@ -80,5 +78,5 @@ def test_nothing_to_find(spark, rows):
 
 def test_merging_sorted_runs():
     runs = [(pa.array(sorted(p), pa.large_binary()), __import__("numpy").arange(len(p))) for p in ([b"a", b"c", b"d"], [b"b", b"c"], [])]
-    out = [(r["phrase"], r["f"]) for t in C.merged(runs) for r in t.to_pylist()]
+    out = [(r["phrase"], r["f"]) for t in C.merged(runs, 1) for r in t.to_pylist()]
     assert sorted(out) == [(b"a", 0), (b"b", 0), (b"c", 2), (b"d", 2)]
