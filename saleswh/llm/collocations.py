@@ -51,8 +51,10 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 SHARE = 80
 FILTER_BITS, BLOCK_BITS = 1 << 27, 1 << 19
 PARTITION_BYTES, HOT = 16 << 20, 4096
-#: Bits of a word id.
-ID_BITS = 21
+#: Bits of a word id, and how many of them tell the first words of a block apart.
+ID_BITS, IN_BLOCK = 18, 8
+#: Phrases that are taken into the tries at once: their words have ids.
+AT_ONCE = (1 << ID_BITS) // LONGEST
 
 _ASCII = np.arange(256)
 SEPARATOR = np.isin(_ASCII, [*b".,;:!?", *range(0x0A, 0x0E)])
@@ -64,7 +66,7 @@ class Limits:
     """Phrases of a container before it bursts, of a task's tries before they spill, and of a run that are merged at once."""
 
     burst: int = 4096
-    held: int = 400_000
+    held: int = 1_000_000
     merged: int = 1 << 16
     slice_bytes: int = W.SLICE_BYTES
 
@@ -74,7 +76,8 @@ RUN = "bucket int, lang string, total long, phrases array<string>, counts array<
 
 # ------------------------------------------------------------------ the trie
 class Container:
-    """The rest of each phrase from ``depth`` on, packed in one number, with its count."""
+    """What follows the first ``depth`` words of phrases, packed in one number, with its count; at depth 0 the phrases of a
+    block of first words."""
 
     def __init__(self, depth: int):
         self.depth, self.counts = depth, {}
@@ -95,24 +98,22 @@ def sorted_counts(node: Container) -> tuple[np.ndarray, np.ndarray]:
 
 
 class HatTrie:
-    """Counts of phrases of ``n`` word ids: a subtree for each first word, below it what follows, ``ID_BITS`` bits a word.
-
-    Single words have nothing below them, so they are one container.
-    """
+    """Counts of phrases of ``n`` word ids: a container for each block of first words, which bursts into one for each of
+    them, and these by the next word."""
 
     def __init__(self, n: int, burst: int):
         self.n, self.burst, self.held = n, burst, 0
         self.root: dict[int, Container | Inner] = {}
 
-    def add(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
-        """Different phrases, in order."""
-        if self.n == 1:
-            self.root[0] = self._put(self.root.get(0) or Container(1), first, counts)
-            return
-        edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1))
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Different phrases, a row of word ids each, in order."""
+        block, keys = ids[:, 0] >> IN_BLOCK, ids[:, 0] & ((1 << IN_BLOCK) - 1)
+        for i in range(1, self.n):
+            keys = keys << ID_BITS | ids[:, i]
+        edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist()):  # noqa: B905
-            w = int(first[a])
-            self.root[w] = self._put(self.root.get(w) or Container(1), rest[a:z], counts[a:z])
+            b = int(block[a])
+            self.root[b] = self._put(self.root.get(b) or Container(0), keys[a:z], counts[a:z])
 
     def _put(self, node: Container | Inner, keys: np.ndarray, counts: np.ndarray) -> Container | Inner:
         if isinstance(node, Container):
@@ -134,28 +135,30 @@ class HatTrie:
         return node
 
     def _all(self, node: Container | Inner, prefix: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys as the block's container had them."""
         if isinstance(node, Container):
             keys, counts = sorted_counts(node)
-            yield keys + (prefix << (ID_BITS * (self.n - node.depth)) if prefix else 0), counts
+            yield (keys + (prefix << (ID_BITS * (self.n - node.depth))) if node.depth else keys), counts
         else:
             for w, child in node.below.items():
                 yield from self._all(child, prefix << ID_BITS | w)
 
     def spilled(self, leave: int) -> tuple[np.ndarray, np.ndarray]:
         """Whole subtrees, the largest first, until at most ``leave`` phrases are left: their word ids, a row each, and counts."""
-        trees = [(w, list(self._all(node))) for w, node in self.root.items()]
+        trees = [(b, list(self._all(node))) for b, node in self.root.items()]
         trees.sort(key=lambda t: -sum(len(k) for k, _ in t[1]))
         ids, counts = [np.zeros((0, self.n), np.int64)], [np.zeros(0, np.int64)]
-        for w, parts in trees:
+        shifts = ID_BITS * np.arange(self.n - 1, -1, -1)
+        for b, parts in trees:
             if self.held <= leave:
                 break
-            del self.root[w]
-            for keys, n in parts:
-                self.held -= len(keys)
-                shifts = ID_BITS * np.arange(self.n - 2, -1, -1)
-                rows = (keys[:, None] >> shifts) & ((1 << ID_BITS) - 1)
-                ids.append(keys[:, None] if self.n == 1 else np.column_stack([np.full(len(keys), w), rows]))
-                counts.append(n)
+            del self.root[b]
+            keys = np.concatenate([k for k, _ in parts])
+            rows = (keys[:, None] >> shifts) & ((1 << ID_BITS) - 1)
+            rows[:, 0] += b << IN_BLOCK
+            self.held -= len(keys)
+            ids.append(rows)
+            counts += [c for _, c in parts]
         return np.concatenate(ids), np.concatenate(counts)
 
 
@@ -275,24 +278,19 @@ def _counter(n: int, buckets: int, bitmap, hot: np.ndarray, limits: Limits):
                     if allowed is not None:
                         fits = passes(allowed, W.gram_hashes(hashes[code], n - 1) ^ seed_of(lang))
                         start &= fits[:-1] & fits[1:]
-                    used = code[np.flatnonzero(start)[:, None] + np.arange(n)]
-                    kinds, local = np.unique(used, return_inverse=True)
-                    if not len(kinds):
-                        continue
-                    if len(vocabulary.ids) + len(kinds) >= 1 << ID_BITS or len(vocabulary.ids) > 2 * limits.held:
-                        yield from spill(0)
-                        vocabulary = Vocabulary()
-                    ids = vocabulary.of(W.items(distinct.take(pa.array(kinds))), hashes[kinds])[local.reshape(used.shape)]
-                    rest = np.zeros(len(ids), np.int64)
-                    for i in range(1, n):
-                        rest = rest << ID_BITS | ids[:, i]
-                    first = ids[:, 0]
-                    order = np.lexsort((rest, first))
-                    first, rest = first[order], rest[order]
-                    at = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])))
-                    trie.add(first[at], rest[at], np.diff(at, append=len(first)))
-                    if sum(t.held for t in tries.values()) > limits.held:
-                        yield from spill(limits.held // 2)
+                    starts = np.flatnonzero(start)
+                    for some in np.split(starts, np.arange(AT_ONCE, len(starts), AT_ONCE)) if len(starts) else ():
+                        used = code[some[:, None] + np.arange(n)]
+                        kinds, local = np.unique(used, return_inverse=True)
+                        if len(vocabulary.ids) + len(kinds) > 1 << ID_BITS:
+                            yield from spill(0)
+                            vocabulary = Vocabulary()
+                        ids = vocabulary.of(W.items(distinct.take(pa.array(kinds))), hashes[kinds])[local.reshape(used.shape)]
+                        ids = ids[np.lexsort(ids.T[::-1])]
+                        at = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1)))
+                        trie.add(ids[at], np.diff(at, append=len(ids)))
+                        if sum(t.held for t in tries.values()) > limits.held:
+                            yield from spill(limits.held // 2)
         yield from spill(0)
 
     return count
@@ -364,6 +362,8 @@ def _bitmap(frequent: DataFrame, n: int) -> bytes:
 
 def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, limits: Limits = Limits()) -> tuple[list[DataFrame], DataFrame]:
     """The phrases of 1, 2, ... ``longest`` words that occur ``least`` times, (lang, phrase, f), and (lang, n): all words."""
+    if longest > LONGEST:
+        raise ValueError(f"phrases have at most {LONGEST} words")
     spark = docs.sparkSession
     docs = docs.select("text", "lang")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh.llm import words as W
-from saleswh.llm.tables import written
+from saleswh.llm.tables import apart, together, written
 
 #: Consecutive words in a window, and the share of hit words from which a document is contaminated: 1 in 20.
 WINDOW, COVERAGE = 13, 20
@@ -215,5 +215,6 @@ def matched(docs: DataFrame, items: DataFrame, cut: bool = False) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, without their hit spans; the columns of ``docs`` but for ``ADDED``."""
-    return matched(docs, items, cut=True).where("not contaminated").select([c for c in docs.columns if c not in ADDED])
+    """The rows of ``docs`` that are not contaminated, without their hit spans; all other columns as they were, whatever their names."""
+    needs = ("doc_id", "text")
+    return together(matched(apart(docs, needs), items, cut=True).where("not contaminated"), docs, needs)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.llm.tables import written
+from saleswh.llm.tables import replaced, written
 
 
 def _smallest(pairs: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def reachable_minimum(edges: DataFrame) -> DataFrame:
     """(node, root) for every node that is not the smallest of its component; ``edges``: (u, v), either way round.
 
-    Each round is written to the shared folder, so plans stay short; the
-    driver sees a count and a checksum of the edges only.
+    Each round is written to the shared folder and takes the place of the last,
+    so plans stay short; the driver sees a count and a checksum of the edges only.
     """
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
     edges, before = written(edges, "edges"), None
@@ -39,4 +39,4 @@ def reachable_minimum(edges: DataFrame) -> DataFrame:
         if now[0] == 0 or now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
-        edges = written(_small_star(_large_star(edges)), "edges")
+        edges = replaced(edges, _small_star(_large_star(edges)), "edges")

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh.llm import words as W
-from saleswh.llm.tables import written
+from saleswh.llm.tables import apart, together, written
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -215,11 +215,11 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, but for columns named like those added (``ADDED``, ``kept``, ``rejected_by``).
+    """The rows of ``docs`` that are kept, with all their columns as they were, whatever their names.
 
     Rows are measured and written once; the thresholds read the narrow
     columns of that table, the result its kept rows, so no text is shuffled.
     """
-    own = [c for c in docs.columns if c not in (*ADDED, "kept", "rejected_by")]
-    measured = written(features(docs.select(*own)), "quality-measured")
-    return _verdicts(measured, thresholds(measured, labels)).where("kept").select(own)
+    needs = ("doc_id", "lang", "text")
+    measured = written(features(apart(docs, needs)), "quality-measured")
+    return together(_verdicts(measured, thresholds(measured, labels)).where("kept"), docs, needs)

@@ -128,24 +128,37 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op2_chat_formatting"] = """
-WITH m AS (
+WITH RECURSIVE m AS (
   SELECT DISTINCT conv_id, CAST(floor(turn / 64) AS BIGINT) AS part, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body
   FROM conversations),
 who AS (SELECT DISTINCT conv_id, speaker AS participant FROM m WHERE speaker <> 'system'),
+turns AS (
+  SELECT conv_id, part, turn, count(*) AS n, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn) AS i
+  FROM m GROUP BY conv_id, part, turn),
+dealt AS (
+  SELECT conv_id, part, turn, i, CAST(0 AS BIGINT) AS first, (n + 255) // 256 - 1 AS last, least(n, 256) AS held FROM turns WHERE i = 1
+  UNION ALL
+  SELECT t.conv_id, t.part, t.turn, t.i,
+    if(d.held + t.n <= 256, d.last, d.last + 1), if(d.held + t.n <= 256, d.last, d.last + 1) + (t.n + 255) // 256 - 1,
+    if(d.held + t.n <= 256, d.held + t.n, least(t.n, 256))
+  FROM dealt d JOIN turns t ON t.conv_id IS NOT DISTINCT FROM d.conv_id AND t.part IS NOT DISTINCT FROM d.part AND t.i = d.i + 1),
+subs AS (
+  SELECT m.conv_id, m.part, m.turn, speaker, body, CAST(first + (row_number() OVER (PARTITION BY m.conv_id, m.turn ORDER BY speaker, body) - 1) // 256 AS BIGINT) AS sub
+  FROM m JOIN dealt d ON d.conv_id IS NOT DISTINCT FROM m.conv_id AND d.turn IS NOT DISTINCT FROM m.turn),
 s AS (
-  SELECT m.*, participant,
+  SELECT subs.*, participant,
     CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = participant THEN '<|assistant|>'
       ELSE '<|user name=' || replace(speaker, '<|', '< |') || '|>' END || chr(10) AS head,
     replace(body, '<|', '< |') || '<|end|>' AS tail
-  FROM m JOIN who ON m.conv_id IS NOT DISTINCT FROM who.conv_id),
+  FROM subs JOIN who ON subs.conv_id IS NOT DISTINCT FROM who.conv_id),
 placed AS (
   SELECT *, length(tail) AS size, length(head) + coalesce(sum(length(head) + length(tail) + 1) OVER (
-    PARTITION BY conv_id, participant, part ORDER BY turn, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    PARTITION BY conv_id, participant, part, sub ORDER BY turn, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM s)
-SELECT conv_id, participant, part, CAST(0 AS BIGINT) AS sub, count(*) AS n_messages,
+SELECT conv_id, participant, part, sub, count(*) AS n_messages,
   string_agg(head || tail || chr(10), '' ORDER BY turn, speaker, body) AS text,
   coalesce(string_agg(CAST(start AS BIGINT) || ':' || size, ',' ORDER BY turn, speaker, body) FILTER (WHERE speaker = participant), '') AS mask
-FROM placed GROUP BY conv_id, participant, part
+FROM placed GROUP BY conv_id, participant, part, sub
 """
 
 
@@ -175,8 +188,8 @@ kept AS (SELECT found.* FROM found LEFT JOIN around USING (lang, phrase) WHERE l
 cuts AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
 scored AS (
   SELECT cuts.lang, cuts.phrase, a, k, p.f AS l, q.f AS r, (2000000::HUGEINT * a) // (p.f + q.f)::HUGEINT AS score
-  FROM cuts JOIN f p ON p.lang = cuts.lang AND p.phrase = array_to_string(w[1:k], ' ')
-  JOIN f q ON q.lang = cuts.lang AND q.phrase = array_to_string(w[k + 1:m], ' ')),
+  FROM cuts JOIN f p ON p.lang = cuts.lang AND p.phrase = array_to_string(cuts.w[1:k], ' ')
+  JOIN f q ON q.lang = cuts.lang AND q.phrase = array_to_string(cuts.w[k + 1:cuts.m], ' ')),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
 SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score

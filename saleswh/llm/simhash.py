@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from saleswh.llm import words as W
 from saleswh.llm.graph import reachable_minimum
-from saleswh.llm.tables import written
+from saleswh.llm.tables import apart, together, written
 
 SHINGLE_WORDS, SEED, BITS = 3, 42, 3
 #: Fingerprints under one key beyond which the key is split.
@@ -164,18 +164,30 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names their component: one document of each group, all columns as they were.
+    """One document of each group, all columns as they were: the rows whose ``doc_id`` names the component of their own text.
 
-    Repeated rows of that ``doc_id`` all stay.  Of a group without any
+    An id may stand for several texts: each of its rows is judged by the group
+    of its text, so no group goes because its name also occurs elsewhere.
+    Repeated rows (one id, one group) all stay.  Of a group without any
     ``doc_id`` one row stays, the first by text.
     """
-    rows = written(fingerprints(docs), "simhash")
-    named = written(_named(rows), "simhash-named")
-    others = rows.join(named, "bits").where("doc_id <> component_id").select("doc_id")
-    kept = docs.where("doc_id is not null").join(others, "doc_id", "left_anti").select(docs.columns)
-    nameless = docs.where("doc_id is null")
-    schema = T.StructType([*nameless.schema.fields, T.StructField("_bits", T.LongType())])
-    nameless = written(nameless.mapInArrow(_fingerprinted, schema).withColumn("_row", F.monotonically_increasing_id()), "simhash-nameless")
+    needs = ("doc_id", "text")
+    rows = apart(docs, needs)
+    marks = written(fingerprints(rows), "simhash")
+    named = written(_named(marks), "simhash-named")
+    at_home = F.col("doc_id") == F.col("component_id")
+    going = marks.where("doc_id is not null").join(named, "bits").groupBy("doc_id").agg(F.bool_or(~at_home).alias("goes"), F.bool_or(at_home).alias("stays"))
+    going = written(going.where("goes"), "simhash-going")
+    kept = rows.where("doc_id is not null").join(going, "doc_id", "left_anti").select(rows.columns)
+
+    def fingerprinted(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(_fingerprinted, T.StructType([*some.schema.fields, T.StructField("_bits", T.LongType())]))
+
+    if not going.where("stays").isEmpty():  # ids of which some rows stay and others go
+        both = fingerprinted(rows.join(going.where("stays").select("doc_id"), "doc_id", "left_semi").select(rows.columns))
+        home = named.where("component_id is not null").select(F.col("bits").alias("_bits"), "component_id")
+        kept = kept.unionByName(both.join(home, "_bits").where(at_home).select(rows.columns))
+    nameless = written(fingerprinted(rows.where("doc_id is null")).withColumn("_row", F.monotonically_increasing_id()), "simhash-nameless")
     free = named.where("component_id is null").select(F.col("bits").alias("_bits"), "root")
     first = nameless.join(free, "_bits").groupBy("root").agg(F.min(F.struct("text", "_row")).alias("first")).select("first._row")
-    return kept.unionByName(nameless.join(first, "_row", "left_semi").select(docs.columns))
+    return together(kept.unionByName(nameless.join(first, "_row", "left_semi").select(rows.columns)), docs, needs)

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh.llm import words as W
-from saleswh.llm.tables import written
+from saleswh.llm.tables import apart, together, written
 
 #: Words in a window, and in the runs of which a window's anchor is one.
 WINDOW, ANCHOR = 13, 6
@@ -301,3 +301,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     schema = T.StructType([docs.schema[c] for c in names]).add("text", "string").add(
         "word_spans", T.ArrayType(T.StructType().add("start", "long").add("words", "long"))).add("n_words", "long")
     return chunks.select("chunk", "blob").groupBy("chunk").cogroup(factors.groupBy("chunk")).applyInArrow(_clean, schema)
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with ``text`` less its duplicate words; all other columns as they were, whatever their names."""
+    needs = ("doc_id", "text")
+    return together(deduplicated(apart(docs, needs)), docs, needs)

@@ -5,7 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The struct that holds columns an operator does not use, whatever their names.
+CARRIED = "carried"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +37,26 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def replaced(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new`` written; then ``old``, a table that ``written`` returned and that only ``new`` has read, is deleted."""
+    out = written(new, name)
+    context = old.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(old.inputFiles()[0]).getParent()
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    return out
+
+
+def apart(docs: DataFrame, needs: Sequence[str]) -> DataFrame:
+    """The columns ``needs`` of ``docs``, and all others in one struct, so that none of them can clash with an operator's own."""
+    own, others = [c for c in docs.columns if c in needs], [F.col(f"`{c}`") for c in docs.columns if c not in needs]
+    return docs.select(*own, *([F.struct(*others).alias(CARRIED)] if others else []))
+
+
+def together(rows: DataFrame, like: DataFrame, needs: Sequence[str]) -> DataFrame:
+    """The columns of ``like`` again, from rows that come from ``apart(like, needs)``."""
+    return rows.select(*(F.col(c) if c in needs else F.col(f"{CARRIED}.`{c}`").alias(c) for c in like.columns))
+
+
 def drop_tables(spark: SparkSession) -> None:
     """Delete what ``written`` has left; call it when all results have been stored."""
     jvm = spark.sparkContext._jvm

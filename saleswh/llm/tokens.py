@@ -14,7 +14,9 @@ bytes, each at the score of one rank beyond the last.
 
 Scale: rows are counted where they are read, without any shuffle; a trie is
 dropped when it has ``NODES`` nodes, which bounds its memory whatever the
-vocabulary of the corpus.  Defined results: a null or empty text has no
+vocabulary of the corpus.  A pre-token of more than ``LONG`` characters is not
+inserted: its forward scores pass through a window as long as the longest piece,
+so a word of many megabytes costs little more than its own text.  Defined results: a null or empty text has no
 tokens; a word of any length counts whole; repeated rows are counted alike;
 input columns of the names added are replaced.
 """
@@ -31,8 +33,8 @@ from pyspark.sql import types as T
 
 from saleswh.llm import words as W
 
-#: Nodes of a task's trie.
-NODES = 400_000
+#: Nodes of a task's trie, and characters of a pre-token beyond which it is not inserted.
+NODES, LONG = 400_000, 1024
 MARK = "▁"
 
 _PIECES: dict[str, tuple[dict[str, float], float]] = {}
@@ -65,6 +67,8 @@ class Trie:
 
     def count(self, token: str) -> int:
         """Pieces of ``token``, which is inserted if it is new."""
+        if len(token) > LONG:
+            return self.passed(token)
         if (known := self.counts.get(token)) is not None:
             return known
         path, child, score, pieces, scores, longest = [0], self.child, self.score, self.pieces, self.scores, self.longest
@@ -88,6 +92,28 @@ class Trie:
         return n
 
 
+    def passed(self, token: str) -> int:
+        """Pieces of a long ``token``: the same scores, of which only those that a piece can reach back to are kept."""
+        scores, longest = self.scores, self.longest
+        score, pieces, gone = [0.0], [0], 0  # of the prefixes from ``gone`` characters on
+        for end, c in enumerate(token, 1):
+            size = len(c.encode())
+            best, fewest = score[-1] + size * self.byte, pieces[-1] + size
+            for begin in range(max(0, end - longest), end):
+                s = scores.get(token[begin:end])
+                if s is not None:
+                    s += score[begin - gone]
+                    if s > best or (s == best and pieces[begin - gone] + 1 < fewest):
+                        best, fewest = s, pieces[begin - gone] + 1
+            score.append(best)
+            pieces.append(fewest)
+            if len(score) > 64 * longest:
+                cut = len(score) - longest
+                gone += cut
+                del score[:cut], pieces[:cut]
+        return pieces[-1]
+
+
 def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(*pieces(path))
