@@ -6,12 +6,18 @@ drawings, media and choices (``HIDDEN``) up to their end tag or that of an
 element around them; of formulas the text stays.  Unclosed tags close as
 browsers close them where that matters for paths (``<p>``, ``<li>``, table
 cells); an end tag without a start tag is ignored.
+
+Paths are linked: an open element is one node, whatever the number of blocks
+inside, so a page takes memory in proportion to its length, however deep its
+elements are nested.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
+from collections import Counter
 from typing import NamedTuple
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)""", re.S)
@@ -38,13 +44,46 @@ _SCOPE = {"td", "th", "table", "button", "object", "html", "body", "article", "s
 _WALLS = {"svg", "math", "template", "noscript", "object", "select"}
 
 
+#: From the outermost: the tag, then the words of its class, id and role.
+Path = tuple[tuple[str, ...], ...]
+#: Bits of what a path says.
+PATHS = 512
+
+
+def bit(word: str) -> int:
+    return zlib.crc32(word.encode()) % PATHS
+
+
+class Node:
+    """An open element, its place below the elements around it, and the hashed words of all of them as bits."""
+
+    __slots__ = ("element", "above", "depth", "said")
+
+    def __init__(self, element: tuple[str, ...], above: Node | None):
+        self.element, self.above = element, above
+        self.depth = above.depth + 1 if above else 1
+        self.said = above.said if above else 0
+        for word in (f"<{element[0]}>", *element[1:]):
+            self.said |= 1 << bit(word)
+
+    def path(self) -> Path:
+        out, node = [], self
+        while node:
+            out.append(node.element)
+            node = node.above
+        return tuple(reversed(out))
+
+
 class Block(NamedTuple):
     text: str
-    #: From the outermost: the tag, then the words of its class, id and role.
-    path: tuple[tuple[str, ...], ...]
+    node: Node | None
     #: Share of the characters that are inside links.
     linked: float
 
+    @property
+    def path(self) -> Path:
+        return self.node.path() if self.node else ()
+
 
 def _element(tag: str, rest: str) -> tuple[str, ...]:
     names = (m[2] or m[3] or m[4] or "" for m in _NAME.finditer(rest)) if "=" in rest else ()
@@ -54,7 +93,8 @@ def _element(tag: str, rest: str) -> tuple[str, ...]:
 def blocks(page: str) -> list[Block]:
     """All blocks with text."""
     out: list[Block] = []
-    stack: list[tuple[str, ...]] = []
+    stack: list[Node] = []
+    open_tags: Counter[str] = Counter()
     runs: list[str] = []
     linked = at = hidden = formulas = 0
 
@@ -63,30 +103,35 @@ def blocks(page: str) -> list[Block]:
         if runs:
             whole = "".join(runs)
             if text := " ".join(html.unescape(whole).split()):
-                out.append(Block(text, tuple(stack), min(1.0, linked / len(whole))))
+                out.append(Block(text, stack[-1] if stack else None, min(1.0, linked / len(whole))))
             runs, linked = [], 0
 
     def cut(i: int) -> None:
         nonlocal hidden, formulas
-        for e in stack[i:]:
-            hidden -= e[0] in HIDDEN
-            formulas -= e[0] == "math"
+        for node in stack[i:]:
+            open_tags[node.element[0]] -= 1
+            hidden -= node.element[0] in HIDDEN
+            formulas -= node.element[0] == "math"
         del stack[i:]
 
     def close(tags: set[str], scope: set[str]) -> None:
+        if not any(open_tags[t] for t in tags):
+            return
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
+            tag = stack[i].element[0]
+            if tag in tags:
                 cut(i)
                 return
-            if stack[i][0] in scope or stack[i][0] in _WALLS:
+            if tag in scope or tag in _WALLS:
                 return
 
     def leave_foreign() -> None:
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in FOREIGN:
+            tag = stack[i].element[0]
+            if tag in FOREIGN:
                 cut(i)
                 return
-            if stack[i][0] in HOSTS:
+            if tag in HOSTS:
                 return
 
     while at < len(page):
@@ -94,7 +139,7 @@ def blocks(page: str) -> list[Block]:
         end = m.start() if m else len(page)
         if end > at and not hidden:
             runs.append(page[at:end])
-            if any(e[0] == "a" for e in stack):
+            if open_tags["a"]:
                 linked += end - at
         if not m:
             break
@@ -103,9 +148,9 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m[2].lower()
         if m[1]:
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), len(stack))
+            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].element[0] == tag), len(stack)) if open_tags[tag] else len(stack)
             # the tags inside formulas and hidden elements part no blocks
-            inside = (hidden or formulas) and not any(e[0] in HIDDEN or e[0] == "math" for e in stack[i:])
+            inside = (hidden or formulas) and not any(e.element[0] in HIDDEN or e.element[0] == "math" for e in stack[i:])
         else:
             if (hidden or formulas) and tag in BREAKS:
                 leave_foreign()
@@ -124,7 +169,8 @@ def blocks(page: str) -> list[Block]:
                 close({"p"}, _SCOPE)
             if tag in CLOSES:
                 close(*CLOSES[tag])
-            stack.append(_element(tag, m[3]))
+            stack.append(Node(_element(tag, m[3]), stack[-1] if stack else None))
+            open_tags[tag] += 1
             hidden += tag in HIDDEN
             formulas += tag == "math"
     flush()

@@ -8,7 +8,8 @@ of the article or not, in the context of the whole page.
 The labeller is trained at each run on at most ``SAMPLE`` pages, chosen by a
 hash of the page.  Their labels come from markup that says what it is (an
 ``<article>``, a ``<nav>``, a class ``comments``); blocks without such markup
-teach nothing.  So that it learns more than the few tags a site uses, each
+teach nothing; where no page of the sample has both kinds, a small page of our
+own (``EXAMPLE``) is added.  So that it learns more than the few tags a site uses, each
 page is also shown with its containers renamed to others of the same kind,
 with foreign boxes inside the article, and with all telling names removed,
 when only words, measures and neighbours are left to tell.
@@ -21,7 +22,6 @@ alike; input columns of the names added are replaced; nothing is cut off.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh.llm import words as W
-from saleswh.llm.html_blocks import Block, blocks
+from saleswh.llm.html_blocks import PATHS, Block, Node, Path, bit, blocks
 
 #: Pages to train on, the longest of them in bytes, and passes over them.
 SAMPLE, SAMPLE_BYTES, STEPS = 48, 200_000, 100
-#: Buckets of hashed path elements and of hashed words; cells of the LSTM in each direction.
-PATHS, WORDS, CELLS = 512, 32, 16
+#: Elements around all blocks of a page to train on, together: deeper pages are left out of the sample.
+SAMPLE_DEPTH = 200_000
+#: Buckets of hashed words; cells of the LSTM in each direction; paths whose vectors are made at once.
+WORDS, CELLS, AT_ONCE = 32, 16, 8192
 _MEASURES = 4
 
 #: Markup that says what a block is: tags, and words of class, id or role.
@@ -47,7 +49,20 @@ OTHER_WORDS = ["nav", "navbar", "menu", "footer", "header", "sidebar", "aside",
                "search", "share", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "widget", "copyright", "legal", "toolbar", "tags"]
 _ARTICLE, _OTHER_TAGS, _OTHER_WORDS = {w for a in ARTICLE for w in a.split()} - {"body", "text"}, set(OTHER_TAGS) - {"figure"}, set(OTHER_WORDS)
 
-Path = tuple[tuple[str, ...], ...]
+#: A page to train on where no page of the sample says what its blocks are.
+EXAMPLE = """<html><body><header><h1>The Valley Times</h1><ul><li><a href="/">Home</a></li><li><a href="/news">News</a></li><li><a href="/about">About us</a></li></ul></header>
+<nav><ul><li><a href="/a">Sport</a></li><li><a href="/b">Weather</a></li><li><a href="/c">Culture</a></li></ul></nav>
+<div class="notice">We use cookies. <a href="/ok">Accept all</a></div>
+<article><h2>A bridge opens after ten years of work</h2>
+<p>The new bridge across the river was opened on Monday, ten years after the first plans were drawn up, and hundreds of people came to walk over it.</p>
+<p>Builders had to stop twice, first because of a flood in the spring, and later because the ground under the northern pier proved too soft.</p>
+<h3>What it means for the town</h3>
+<p>Until now the way to the hospital took half an hour; it takes five minutes today, says the mayor, who thanked the workers in a short speech.</p>
+<ul><li>The bridge is four hundred metres long, and it has two lanes for bicycles.</li><li>Lorries of more than seven tonnes must still take the old road.</li></ul></article>
+<aside><h3>Most read</h3><ul><li><a href="/1">Ten recipes for summer</a></li><li><a href="/2">Who won the cup?</a></li></ul><div class="ad">Buy two, pay one! <a href="/buy">Order now</a></div></aside>
+<section class="comments"><h3>2 comments</h3><p>anna: great news!</p><p>tom: at last</p></section>
+<form class="newsletter"><label>Your mail</label><button>Subscribe</button></form>
+<footer><p>© The Valley Times</p><a href="/legal">Legal notice</a> <a href="/contact">Contact</a></footer></body></html>"""
 
 
 def marked(path: Path) -> int | None:
@@ -91,15 +106,17 @@ def _variants(page: list[Block], rng: np.random.Generator) -> Iterator[tuple[lis
     yield [tuple(("div",) if _telling(e) else e for e in b.path) for b in page], labels
 
 
-def _path_vectors(paths: list[Path]) -> np.ndarray:
-    out = np.zeros((len(paths), PATHS), np.float32)
-    for i, path in enumerate(paths):
-        for tag, *names in path:
-            for word in (f"<{tag}>", *names):
-                out[i, zlib.crc32(word.encode()) % PATHS] = 1
-        if path:
-            out[i, zlib.crc32(f"leaf {path[-1][0]}".encode()) % PATHS] = 1
-    return out
+def _node(path: Path) -> Node | None:
+    node = None
+    for element in path:
+        node = Node(element, node)
+    return node
+
+
+def _path_vectors(nodes: list[Node | None]) -> np.ndarray:
+    """What the elements of each path say, and the innermost one, as zeros and ones."""
+    said = b"".join(((n.said | 1 << bit(f"leaf {n.element[0]}")) if n else 0).to_bytes(PATHS // 8, "little") for n in nodes)
+    return np.unpackbits(np.frombuffer(said, np.uint8).reshape(-1, PATHS // 8), axis=1, bitorder="little").astype(np.float32)
 
 
 def _content_vectors(pages: list[list[Block]]) -> np.ndarray:
@@ -229,13 +246,21 @@ class Labeller:
             z = a + max(1, 20_000 // len(pages[order[a]]))  # of bounded padded size
             some = [pages[i] for i in order[a:z]]
             sizes = np.array([len(p) for p in some])
-            paths: dict[Path, int] = {}
-            of = [paths.setdefault(b.path, len(paths)) for p in some for b in p]
-            seen, content = _path_vectors(list(paths)), _content_vectors(some)
+            paths: dict[tuple[int, str], int] = {}
+            nodes: list[Node | None] = []
+            of = []
+            for b in (b for p in some for b in p):
+                key = (b.node.said, b.node.element[0]) if b.node else (0, "")
+                if key not in paths:
+                    paths[key] = len(nodes)
+                    nodes.append(b.node)
+                of.append(paths[key])
+            content = _content_vectors(some)
             spot = np.repeat(np.arange(len(some)), sizes), np.concatenate([np.arange(n) for n in sizes])
 
-            def spread(weights: np.ndarray, bias: np.ndarray | float, seen=seen, of=of, content=content, spot=spot, sizes=sizes) -> np.ndarray:
-                flat = (seen @ weights[:PATHS])[of] + content @ weights[PATHS:] + bias
+            def spread(weights: np.ndarray, bias: np.ndarray | float, nodes=nodes, of=of, content=content, spot=spot, sizes=sizes) -> np.ndarray:
+                seen = np.concatenate([_path_vectors(nodes[i:i + AT_ONCE]) @ weights[:PATHS] for i in range(0, len(nodes), AT_ONCE)])
+                flat = seen[of] + content @ weights[PATHS:] + bias
                 padded = np.zeros((len(sizes), sizes[0], *flat.shape[1:]), np.float32)
                 padded[spot] = flat
                 return padded
@@ -259,11 +284,14 @@ def fit(pages: DataFrame) -> Labeller:
     drawn = pages.withColumn("_draw", F.pmod(F.xxhash64(*pages.columns), F.lit(1 << 40))).where(F.col("_draw") <= int(share * (1 << 40)))
     small = drawn.select("_draw", "html").where(F.col("html").isNotNull() & (F.octet_length("html").between(1, SAMPLE_BYTES)))
     sample = [blocks(r["html"]) for r in small.orderBy("_draw", "html").limit(SAMPLE).collect()]
+    sample = [p for p in sample if p and sum(b.node.depth if b.node else 0 for b in p) <= SAMPLE_DEPTH]
+    told = {marked(b.path) for p in sample for b in p}
+    if not {0, 1} <= told:  # no page says what is what: an example of our own does
+        sample.append(blocks(EXAMPLE))
     rng, shown = np.random.default_rng(7), []
     for page in sample:
-        if page:
-            content = _content_vectors([page])
-            shown += [(np.concatenate([_path_vectors(paths), content], axis=1), labels) for paths, labels in _variants(page, rng)]
+        content = _content_vectors([page])
+        shown += [(np.concatenate([_path_vectors([_node(p) for p in paths]), content], axis=1), labels) for paths, labels in _variants(page, rng)]
     labeller = Labeller()
     if shown:
         shown.sort(key=lambda s: -len(s[0]))

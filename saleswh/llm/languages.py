@@ -10,11 +10,14 @@ sum over its words.
 
 Words are maximal runs of letters, lower-cased.  The model is fitted on about
 ``SAMPLE`` labelled texts of every language (chosen by a hash of text and
-place, all of them if there are fewer) and keeps at most ``ENTRIES`` words and
-grams in all, an equal share of the most frequent of each language; each of
-them has its true count in all languages.  So what is broadcast is bounded by
-the number of languages; every text is scored whole, where it is read, in
-``ABREAST`` languages at a time.
+place in the table, so the same rows in other files may give another sample;
+all of them if there are fewer).  It keeps the most frequent words and grams
+of each language: an equal share of ``ENTRIES``, but ``EACH`` of every length
+however many languages there are; each of them has its true count in all
+languages.  The least count that gets in is read off a histogram of counts, by
+eighths of powers of two, so no language is sorted in one task.  What is
+broadcast is bounded by the number of languages; every text is scored whole,
+where it is read, in ``ABREAST`` languages at a time.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or
 if nothing could be learned; on ties the first language by name; otherwise the
@@ -38,8 +41,9 @@ from pyspark.sql.window import Window
 from saleswh.llm import words as W
 from saleswh.llm.tables import written
 
-#: Labelled texts for each language, words and grams in the model, and languages whose table a task holds at once.
-SAMPLE, ENTRIES, ABREAST = 10_000, 400_000, 64
+#: Labelled texts for each language, words and grams in the model, least share of a language and length of these, and
+#: languages whose table a task holds at once.
+SAMPLE, ENTRIES, EACH, ABREAST = 10_000, 400_000, 1000, 64
 #: Longest n-gram; log penalty of a step to shorter grams; count of a word or gram in a language that lacks it.
 LONGEST, STEP, ABSENT = 4, 1.0, 0.1
 
@@ -149,6 +153,18 @@ class Model:
         return out
 
 
+def _chosen(counts: DataFrame, most: int) -> DataFrame:
+    """About the ``most`` most frequent entries of each language and length; of those with the last count that gets in,
+    a share by hash."""
+    step = F.floor(F.log2("times") * 8).cast("int")
+    sizes = counts.groupBy("lang", "n", step.alias("step")).agg(F.count(F.lit(1)).alias("size"))
+    above = F.sum("size").over(Window.partitionBy("lang", "n").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1))
+    shares = sizes.select("lang", "n", "step", ((F.lit(most) - F.coalesce(above, F.lit(0))) / F.col("size")).alias("share")).where("share > 0")
+    drawn = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    # a row for each language, length and step of counts, of which there are some hundreds
+    return counts.withColumn("step", step).join(shares, ["lang", "n", "step"]).where(drawn)
+
+
 def fit(labelled: DataFrame) -> Model:
     """The model of texts (text, lang); rows without either teach nothing.  The driver gets a row for each language, and
     one for each word or gram of the model."""
@@ -166,9 +182,7 @@ def fit(labelled: DataFrame) -> Model:
     totals = {(r["lang"], r["n"]): r["times"] for r in counts.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
     if not totals:
         return Model(None, {})
-    most = max(1, ENTRIES // (len(sizes) * (LONGEST + 1)))
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("times"), "gram"))
-    chosen = counts.withColumn("rank", rank).where(F.col("rank") <= most).select("n", "gram").distinct()
+    chosen = _chosen(counts, max(EACH, ENTRIES // (len(sizes) * (LONGEST + 1)))).select("n", "gram").distinct()
     places = spark.createDataFrame(list(enumerate(sorted({x for x, _ in totals}))), "_column int, lang string")
     cells = counts.join(chosen, ["n", "gram"], "left_semi").join(F.broadcast(places), "lang") \
         .groupBy("n", "gram").agg(F.collect_list(F.struct("_column", "times")).alias("cells"))

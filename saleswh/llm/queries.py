@@ -106,10 +106,10 @@ FROM fitting QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY fit DESC)
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))  # without an id: not held out
     docs = table(spark, sf_dir, "documents")
     model = languages.fit(docs.where(~held).select("text", "lang"))
-    return languages.predicted(docs.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "text"), model)
+    return languages.predicted(docs.select("doc_id", held.alias("held_out"), "text"), model)
 
 
 @query

@@ -68,3 +68,34 @@ def test_hidden_elements_hide_their_own_content_only():
     assert texts("<article><svg><path d=x><p>a</p>b</article>c") == ["a", "b", "c"]
     assert texts("<p>a<svg><foreignObject><p>no</p><div>no</div></foreignObject></svg>b") == ["a", "b"]
     assert texts("<video src=x /><track src=y>no</video>a<iframe src=x><p>no</iframe>b<select><option>no<option>no</select>c") == ["a", "b", "c"]
+
+
+def test_deep_pages_take_memory_by_their_length():
+    import tracemalloc
+
+    labeller = html_text.Labeller()
+    tracemalloc.start()
+    page = html_blocks.blocks("<div>x" * 100_000)
+    [score] = labeller.scores([page])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(page) == len(score) == 100_000 and peak < 1 << 30
+    assert page[-1].node.depth == 100_000 and page[2].path == (("div",),) * 3
+
+
+def test_open_elements_do_not_slow_a_page():
+    import time
+
+    start = time.time()
+    assert len(html_blocks.blocks("<b>" * 20_000 + "<div>x</div></i>" * 20_000)) == 20_000
+    assert time.time() - start < 20
+
+
+def test_pages_that_do_not_say_what_is_what(spark):
+    """No telling names in any page of the sample: the example page teaches the labeller, and the article is found."""
+    body = "".join(f"<p>{D.sentences(i, 45).capitalize()}. {D.sentences(i + 50, 30).capitalize()}, and so on.</p>" for i in range(5))
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(6))
+    site = f"<body><div><ul>{links}</ul></div><div><h1>About words</h1>{body}</div><div><ul>{links}</ul></div></body>"
+    pages = spark.createDataFrame([(i, "u", site.replace("About", f"About {i}")) for i in range(3)], "page_id long, url string, html string")
+    for r in html_text.extracted(pages, html_text.fit(pages)).collect():
+        assert "Link" not in r.text and sum(r.text.count(D.sentences(i, 45).capitalize()) for i in range(5)) == 5

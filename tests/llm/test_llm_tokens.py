@@ -48,3 +48,22 @@ def test_query_digest(spark):
     assert len(got) == len(docs)
     for r in got[:40]:
         assert r.n_tokens == sum(brute(tokens.MARK + x.decode(), scores, byte) for x in (docs[r.doc_id] or "").encode().split())
+
+
+def test_long_words_are_not_inserted():
+    scores, byte = tokens.pieces(PATH)
+    trie = tokens.Trie(scores, byte)
+    for word in ("x" * 1500, "hello" * 900, "中文é" * 700, "ab " .replace(" ", "\u00a0") * 800):
+        assert trie.count(tokens.MARK + word) == brute(tokens.MARK + word, scores, byte)
+    assert len(trie.score) == 1 and not trie.counts
+
+
+def test_memory_of_a_very_long_word():
+    import tracemalloc
+
+    trie = tokens.Trie({"a": -1.0, "ab": -1.5}, -5.0)
+    word = "ab" * 200_000
+    tracemalloc.start()
+    assert trie.count(word) == 200_000
+    assert tracemalloc.get_traced_memory()[1] < 1 << 20
+    tracemalloc.stop()
