@@ -1,7 +1,8 @@
 """The corpus pipeline: documents through quality rules, near-dedup, substring dedup, decontamination and packing.
 
 Every stage reads what its predecessor has written and returns a DataFrame;
-all but the last return the columns of ``documents``.
+all but the last return the columns of ``documents``, also columns of its own
+that are named like those of an operator.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from saleswh.llm.queries import table
 from saleswh.llm.tables import ship, written
 
 
-def _measured(docs: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like``, with ``n_chars`` of the text as it is now; no other column changes."""
-    return docs.withColumn("n_chars", F.length("text").cast("long")).select(like.columns) if "n_chars" in like.columns else docs.select(like.columns)
+def _measured(docs: DataFrame) -> DataFrame:
+    """``n_chars`` of the text as it is now; no other column changes."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of SimHash links."""
+    """One document of each component of SimHash links, that of the smallest id."""
     ship(spark)
     return simhash.representatives(docs)
 
@@ -35,13 +36,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, less the words of windows that start in a document with a smaller id as well."""
     ship(spark)
-    return _measured(substrings.deduplicated(docs), docs)
+    return _measured(substrings.cleaned(docs))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated; what spans of items these have below the coverage limit go."""
     ship(spark)
-    return _measured(decontaminate.cleaned(docs, table(spark, sf_dir, "benchmark")), docs)
+    return _measured(decontaminate.cleaned(docs, table(spark, sf_dir, "benchmark")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

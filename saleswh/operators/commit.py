@@ -31,7 +31,7 @@ import re
 import threading
 import uuid
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +65,16 @@ class Version:
     schema: str
     files: tuple[File, ...]
     done: dict[str, int]
+    #: Small values that are published with the rows (a watermark), and tables that are: name -> schema and folders.
+    state: dict[str, str] = field(default_factory=dict)
+    sides: dict[str, dict] = field(default_factory=dict)
+
+    def side(self, spark: SparkSession, root: str, name: str) -> DataFrame | None:
+        found = self.sides.get(name)
+        return found and spark.read.schema(T.StructType.fromJson(json.loads(found["schema"]))).parquet(*(f"{root}/{p}" for p in found["paths"]))
+
+    def paths(self) -> list[str]:
+        return [f.path for f in self.files] + [p for s in self.sides.values() for p in s["paths"]]
 
     def holds(self, name: str) -> bool:
         writer, batch = _batch(name)
@@ -100,7 +110,7 @@ def version(spark: SparkSession, root: str, number: int) -> Version:
     finally:
         stream.close()
     found = json.loads(raw)
-    return Version(number, found["name"], found["schema"], tuple(File(**f) for f in found["files"]), found["done"])
+    return Version(number, found["name"], found["schema"], tuple(File(**f) for f in found["files"]), found["done"], found["state"], found["sides"])
 
 
 def live(spark: SparkSession, root: str) -> Version | None:
@@ -110,7 +120,7 @@ def live(spark: SparkSession, root: str) -> Version | None:
 
 def _publish(spark: SparkSession, root: str, new: Version) -> bool:
     """Make ``new`` live unless another version has taken its number."""
-    body = {"name": new.name, "schema": new.schema, "files": [asdict(f) for f in new.files], "done": new.done}
+    body = {"name": new.name, "schema": new.schema, "files": [asdict(f) for f in new.files], "done": new.done, "state": new.state, "sides": new.sides}
     fs, draft = path_on(spark, f"{root}/{PUBLISHED}/draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(json.dumps(body).encode()))
@@ -137,9 +147,9 @@ def _clean(spark: SparkSession, root: str, new: Version, keep: int) -> None:
     old = [version(spark, root, n) for n in numbers[:-keep]]
     if not old:
         return
-    needed = {f.path for n in numbers[-keep:] for f in version(spark, root, n).files}
+    needed = {p for n in numbers[-keep:] for p in version(spark, root, n).paths()}
     folders = {p.split("/")[0] for p in needed}
-    gone = {f.path for v in old for f in v.files} - needed
+    gone = {p for v in old for p in v.paths()} - needed
     for name in {p if p.split("/")[0] in folders else p.split("/")[0] for p in gone}:
         fs, path = path_on(spark, f"{root}/{name}")
         fs.delete(path, True)
@@ -148,11 +158,11 @@ def _clean(spark: SparkSession, root: str, new: Version, keep: int) -> None:
         fs.delete(path, False)
 
 
-def _attempts(spark: SparkSession, root: str, name: str, write: Callable[[Version | None, str], tuple[T.StructType, list[File]] | None],
-              keep: int = KEPT_VERSIONS) -> bool:
+def attempts(spark: SparkSession, root: str, name: str, write: Callable[[Version | None, str], tuple], keep: int = KEPT_VERSIONS) -> bool:
     """Build on the live version, publish, and build again if another version came first; False if ``name`` is in already.
 
-    ``write(base, folder)`` writes below ``<root>/<folder>`` and returns the new version's schema and files.
+    ``write(base, folder)`` writes below ``<root>/<folder>`` and returns the new version's schema and files, and, if
+    they change, its state and side tables.
     """
     while True:
         base = live(spark, root)
@@ -160,7 +170,7 @@ def _attempts(spark: SparkSession, root: str, name: str, write: Callable[[Versio
             return False
         folder = f"v={name}/{uuid.uuid4().hex}"
         try:
-            schema, files = write(base, folder)
+            schema, files, *more = write(base, folder)
         except Exception:
             now = live(spark, root)
             if base is None or now is None or now.number == base.number:
@@ -168,7 +178,8 @@ def _attempts(spark: SparkSession, root: str, name: str, write: Callable[[Versio
             continue  # the files it read may have gone with their version
         writer, batch = _batch(name)
         done = {**(base.done if base else {}), writer: batch}
-        new = Version(base.number + 1 if base else 0, f"v={name}", json.dumps(schema.jsonValue()), tuple(files), done)
+        state, sides = [*more, *((base.state, base.sides) if base else ({}, {}))[len(more):]]
+        new = Version(base.number + 1 if base else 0, f"v={name}", json.dumps(schema.jsonValue()), tuple(files), done, state, sides)
         if _publish(spark, root, new):
             _clean(spark, root, new, keep)
             return True
@@ -197,7 +208,7 @@ def commit_on(spark: SparkSession, root: str, name: int | str, build: Callable[[
         df.write.parquet(f"{root}/{folder}")
         return df.schema, [File(folder)]
 
-    return _attempts(spark, root, str(name), write, keep)
+    return attempts(spark, root, str(name), write, keep)
 
 
 def commit(df: DataFrame, root: str, version: int | str, keep: int = KEPT_VERSIONS) -> bool:
@@ -214,7 +225,7 @@ def order_ranges(column: str, span: int, buckets: int) -> Column:
 
 
 class Keyed:
-    """A committed table with at most one row for each key, whose merges rewrite the files that a batch touches.
+    """A committed table whose merges rewrite the files that the keys of a batch touch (``append``: none).
 
     ``bucket`` is a column of the keys with values from 0 to ``buckets`` - 1; it
     must not change while the table lives.  ``buckets`` should make a bucket a
@@ -267,12 +278,14 @@ class Keyed:
         return rows, files
 
     def merge(self, name: str, rows: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-              update: Sequence[str] | None = None) -> bool:
+              update: Sequence[str] | None = None, append: bool = False) -> bool:
         """Merge ``rows`` (one for each key) as batch ``name``; False if it was merged before.
 
         ``combine(old rows of the touched files, rows)`` gives their new rows;
         by default known keys are updated (``update``: these columns only) and
-        others inserted.
+        others inserted.  With ``append`` the rows are put beside what is
+        there, whatever their keys: the table is a log then, and columns that
+        are new in ``rows`` are added to it (older rows have NULL there).
         """
         from saleswh.operators.merge import merge_upsert
 
@@ -284,20 +297,32 @@ class Keyed:
 
         def write(base: Version | None, folder: str) -> tuple[T.StructType, list[File]]:
             files = list(base.files) if base else []
+            if append:
+                return self._grown(base), files + self._write(batch, folder, self._grown(base))
             many = {b for b in ranges if sum(f.bucket == b for f in files) >= self.files}
             touched = [f for f in files if f.bucket in many or self._overlaps(f, ranges)]
             old = base.read(spark, self.root, touched) if base else spark.createDataFrame([], self.schema)
             new = combine(old, batch) if combine else merge_upsert(old, batch, self.keys, update)
-            new = new.select([F.col(f.name).cast(f.dataType) for f in self.schema])
-            path = f"{self.root}/{folder}"
-            (new.withColumn("_bucket", self.bucket).hint("rebalance", F.col("_bucket"))
-                .write.partitionBy("_bucket").parquet(path))
-            written = spark.read.schema(T.StructType([*self.schema, T.StructField("_bucket", T.IntegerType())])).parquet(path)
-            found = self._ranges(written)
-            added = [File(f"{folder}/_bucket={b}", b, n, *((low, high) if isinstance(low, (str, int)) else (None, None))) for b, (n, low, high) in sorted(found.items())]
-            return self.schema, [f for f in files if f not in touched] + added
-
-        return _attempts(spark, self.root, name, write, self.keep)
+            return self.schema, [f for f in files if f not in touched] + self._write(new, folder, self.schema)
+
+        return attempts(spark, self.root, name, write, self.keep)
+
+    def append(self, name: str, rows: DataFrame) -> bool:
+        return self.merge(name, rows, append=True)
+
+    def _grown(self, base: Version | None) -> T.StructType:
+        """The columns of the table and those of this object's schema that it lacks."""
+        known = list(T.StructType.fromJson(json.loads(base.schema))) if base else []
+        return T.StructType([*known, *(f for f in self.schema if f.name not in {k.name for k in known})])
+
+    def _write(self, rows: DataFrame, folder: str, schema: T.StructType) -> list[File]:
+        """Write rows by bucket, and read back what range of keys each bucket has got."""
+        path = f"{self.root}/{folder}"
+        rows = rows.select([(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+        rows.withColumn("_bucket", self.bucket).hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(path)
+        written = self.spark.read.schema(T.StructType([*schema, T.StructField("_bucket", T.IntegerType())])).parquet(path)
+        return [File(f"{folder}/_bucket={b}", b, n, *((low, high) if isinstance(low, (str, int)) else (None, None)))
+                for b, (n, low, high) in sorted(self._ranges(written).items())]
 
     def changes(self, since: int | None, upto: int) -> DataFrame:
         """Rows that changed between two versions (``since`` None: the empty table), with ``_change``: insert, update_before,

@@ -7,25 +7,25 @@ Design notes for scale:
   aggregate collapses every key to one row per map task *before* the
   shuffle, so a key holding a third of all rows costs one row per task
   downstream instead of one giant sort in one task.
-* W2 ``duplicates`` finds first rows with a partial aggregate and joins
-  them back on the key; the side with one row per key is what AQE's
-  skew-join splitting needs.  W3 (order totals in ``plans/silver``) is
+* W2 ``duplicates`` counts on the key columns alone, and looks at whole rows
+  only of keys with several copies; the side with one row per key is what
+  AQE's skew-join splitting needs.  W3 (order totals in ``plans/silver``) is
   ``groupBy + join`` for the same reason.
 * W4 ``surrogate`` numbers rows by a global order without a single-task
   window: one range-partitioned copy in the shared folder, and per-partition
-  offsets from that copy (a tiny table with one row per partition).
+  offsets from that copy (one row per partition, counted once).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
-from pyspark.sql.window import Window
 
 from saleswh.operators.commit import materialize
+from saleswh.operators.sizing import small
 
 
 def _names(cols) -> list[str]:
@@ -62,22 +62,29 @@ def duplicates(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
 
     Same result as ``COUNT(*) OVER k > 1 AND ROW_NUMBER() OVER (k ORDER BY
     order) > 1`` with a total tie-break over all columns; NULL keys are a
-    group like any other, as in a window.  The rows are written once with an
-    id, so the first of identical copies is one row and not all of them; the
-    first rows are a partial aggregate, and each copy is one joined row.
+    group like any other, as in a window.  Keys are counted on their own
+    columns; only rows of keys with several copies are looked at whole.  These
+    are written with an id, so the first of identical copies is one row and
+    not all of them; the first rows are a partial aggregate, and each copy is
+    one joined row.  ``df`` is read twice: it should be a written table.
     """
     keys = _names(keys)
     cols = df.columns
     ordered = list(order) + [c for c in cols if c not in keys and c not in order]
-    rows = materialize(df.withColumn("_rid", F.monotonically_increasing_id()), "duplicates")
-    first = (rows.groupBy(*keys)
-                 .agg(F.min(F.struct(*[F.col(c) for c in ordered], F.col("_rid"))).alias("_first"),
-                      F.count(F.lit(1)).alias("_n"))
-                 .where("_n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_first._rid").alias("_first")))
-    same = F.lit(True)
-    for k in keys:
-        same = same & rows[k].eqNullSafe(first[f"_k_{k}"])
-    return rows.join(first, same).where(F.col("_rid") != F.col("_first")).select(*cols)
+    several = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    several = small(materialize(several, "several"))
+
+    def same(other: DataFrame, names: list[str]) -> Column:
+        out = F.lit(True)
+        for k, n in zip(keys, names, strict=True):
+            out = out & F.col(k).eqNullSafe(other[n])
+        return out
+
+    copies = df.join(several, same(several, [f"_k_{k}" for k in keys]), "left_semi")
+    copies = materialize(copies.withColumn("_rid", F.monotonically_increasing_id()), "copies")
+    first = copies.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in ordered], F.col("_rid"))).alias("_first"))
+    first = first.select(*[F.col(k).alias(f"_f_{k}") for k in keys], F.col("_first._rid").alias("_first"))
+    return copies.join(first, same(first, [f"_f_{k}" for k in keys])).where(F.col("_rid") != F.col("_first")).select(*cols)
 
 
 def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 0,
@@ -91,7 +98,8 @@ def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 0,
     order is made total by all other sortable columns, so a row's number does
     not depend on how the frame was split.  The offsets have one row per
     partition, so they are broadcast without risk, and no task ever holds
-    more than its own range.
+    more than its own range.  What is returned is a scan of the written copy:
+    it need not be written again to be read several times.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -99,9 +107,11 @@ def surrogate(df: DataFrame, order: Sequence[str], name: str, start: int = 0,
     ranged = materialize(df.repartitionByRange(n, *total).sortWithinPartitions(*total)
                            .withColumn("_pid", F.spark_partition_id())
                            .withColumn("_mid", F.monotonically_increasing_id()), name)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    before, offsets = 0, []
+    for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).orderBy("_pid").collect():  # a row for each partition
+        offsets.append((r["_pid"], before))
+        before += r["n"]
+    offsets = spark.createDataFrame(offsets, "_pid int, _off bigint")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
     return (ranged.join(F.broadcast(offsets), "_pid")
                   .withColumn(name, (F.lit(start) + F.col("_off") + local + 1).cast("bigint"))

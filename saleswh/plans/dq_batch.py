@@ -10,13 +10,14 @@ copies its order has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saleswh.functions.sap import TAX_ID_RE, payload, quarantine_key
+from saleswh.operators.commit import Keyed, materialize
 from saleswh.operators.merge import merge_insert
 from saleswh.operators.windows import duplicates
-from saleswh.plans.warehouse import Warehouse, current
+from saleswh.plans.warehouse import Warehouse, fact_sales_orders_src
 
 # The rule catalogue (id, name, type, target, description, severity).
 DQ_RULES = [
@@ -73,9 +74,9 @@ def rule_unique(stg: DataFrame, as_of: str) -> DataFrame:
     return _quarantine(extra, 3, "STG_SALES_ORDERS", _order_key(), as_of)
 
 
-def rule_fk(stg: DataFrame, dim_customer: DataFrame, as_of: str) -> DataFrame:
-    """Customer not in the current dimension (NULL key is an orphan too)."""
-    cur = current(dim_customer).select("CUSTOMER_ID").distinct()
+def rule_fk(stg: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
+    """Customer not among the current ones (NULL key is an orphan too)."""
+    cur = customers.select("CUSTOMER_ID").distinct()
     orphans = stg.join(cur, "CUSTOMER_ID", "left_anti").select(*stg.columns)
     return _quarantine(orphans, 4, "STG_SALES_ORDERS", _order_key(), as_of)
 
@@ -107,13 +108,13 @@ def rule_cross(stg_billing: DataFrame, stg_orders: DataFrame, as_of: str) -> Dat
     return _quarantine(bad, 7, "STG_BILLING", key, as_of)
 
 
-def run_dq_checks(wh: Warehouse, as_of: str | None = None) -> DataFrame:
-    """Q19: the whole catalogue as one quarantine frame (status PENDIENTE)."""
+def run_dq_checks(wh: Warehouse, as_of: str | None = None, orders: DataFrame | None = None) -> DataFrame:
+    """Q19: the whole catalogue as one quarantine frame (status PENDIENTE); ``orders``: the committed staging orders of a load."""
     as_of = as_of or wh.as_of
-    so = wh.committed_sales_orders
+    so = wh.committed_sales_orders if orders is None else orders
     parts = [rule_rows(so, as_of),
              rule_unique(so, as_of),
-             rule_fk(so, wh.dim_customer, as_of),
+             rule_fk(so, wh.stg_customers, as_of),  # all staged customers are current; no key is needed
              rule_format(wh.stg_customers, as_of),
              rule_cross(wh.stg_billing, so, as_of)]
     out = parts[0]
@@ -145,17 +146,44 @@ def dq_dashboard(rules: DataFrame, quarantine: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_n"), F.lit(0)).alias("REGISTROS_AFECTADOS"), "ULTIMA_DETECCION")
 
 
-def audit_row(pipeline: str, source: str, read: DataFrame, inserted: DataFrame, rejected: DataFrame,
-              started_at: str, finished_at: str, detail: str = "") -> DataFrame:
-    """Q21: one PIPELINE_AUDIT row; counts are 1-row aggregates cross-joined."""
-    r = read.agg(F.count(F.lit(1)).alias("ROWS_READ"))
-    i = inserted.agg(F.count(F.lit(1)).alias("ROWS_INSERTED"))
-    x = rejected.agg(F.count(F.lit(1)).alias("ROWS_REJECTED"))
-    row = r.crossJoin(i).crossJoin(x)
-    status = (F.when((F.col("ROWS_READ") > 0) & (F.col("ROWS_INSERTED") == 0), "ERROR")
-              .when(F.col("ROWS_REJECTED") > 0, "WARN").otherwise("OK"))
-    return row.select(F.lit(pipeline).alias("PIPELINE_NAME"), F.lit(source).alias("SOURCE_NAME"),
-                      F.lit(started_at).cast("timestamp").alias("STARTED_AT"),
-                      F.lit(finished_at).cast("timestamp").alias("FINISHED_AT"),
-                      "ROWS_READ", "ROWS_INSERTED", "ROWS_REJECTED", status.alias("STATUS"),
-                      F.lit(detail).alias("DETAIL"))
+AUDIT = ("RUN_ID bigint, PIPELINE_NAME string, SOURCE_NAME string, STARTED_AT timestamp, FINISHED_AT timestamp, ROWS_READ bigint, "
+         "ROWS_INSERTED bigint, ROWS_REJECTED bigint, STATUS string, DETAIL string")
+
+
+class Audited:
+    """Q21: what a load reads, inserts and rejects, observed by the jobs that write its results; nothing is counted again."""
+
+    def __init__(self, pipeline: str, source: str, started_at: str, finished_at: str, detail: str = ""):
+        self.pipeline, self.source, self.started_at, self.finished_at, self.detail = pipeline, source, started_at, finished_at, detail
+        self.seen = {name: Observation() for name in ("read", "inserted", "rejected")}
+
+    def observed(self, name: str, df: DataFrame, condition: Column | None = None) -> DataFrame:
+        """``df``, whose rows (those of a condition) count as read, inserted or rejected when they are written."""
+        return df.observe(self.seen[name], F.count(F.lit(1) if condition is None else F.when(condition, 1)).alias("n"))
+
+    def row(self, spark: SparkSession, run_id: int) -> DataFrame:
+        """The audit row, after the observed frames were written."""
+        read, inserted, rejected = (int(self.seen[name].get["n"]) for name in ("read", "inserted", "rejected"))
+        status = "ERROR" if read and not inserted else "WARN" if rejected else "OK"
+        ts = [F.lit(x).cast("timestamp").alias(n) for n, x in (("STARTED_AT", self.started_at), ("FINISHED_AT", self.finished_at))]
+        row = spark.createDataFrame([(run_id, self.pipeline, self.source, read, inserted, rejected, status, self.detail)],
+                                    "RUN_ID bigint, PIPELINE_NAME string, SOURCE_NAME string, ROWS_READ bigint, ROWS_INSERTED bigint, ROWS_REJECTED bigint, "
+                                    "STATUS string, DETAIL string")
+        return row.select("RUN_ID", "PIPELINE_NAME", "SOURCE_NAME", *ts, "ROWS_READ", "ROWS_INSERTED", "ROWS_REJECTED", "STATUS", "DETAIL")
+
+    def log(self, table: Keyed, run_id: int) -> None:
+        """Append the row to the audit table; a repeated run leaves the row it has."""
+        table.append(f"run{run_id}", self.row(table.spark, run_id))
+
+
+def audit_table(spark: SparkSession, root: str) -> Keyed:
+    return Keyed(spark, root, AUDIT, ["RUN_ID"], buckets=1)
+
+
+def load_fact_audited(wh: Warehouse, as_of: str, audit: Audited, orders: DataFrame | None = None) -> DataFrame:
+    """Write the order fact and the quarantine of a load; returns the fact.  Each is written once, by a job that counts."""
+    staged = wh.committed_sales_orders if orders is None else orders
+    fact = materialize(audit.observed("inserted", fact_sales_orders_src(audit.observed("read", staged), wh.lookups)), "fact_audited")
+    rules = run_dq_checks(wh, as_of, staged)
+    materialize(audit.observed("rejected", rules, F.col("SOURCE_TABLE") == "STG_SALES_ORDERS"), "quarantine_audited")
+    return fact

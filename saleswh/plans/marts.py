@@ -28,7 +28,7 @@ def monthly_sales(wh: Warehouse, grain_safe: bool = False) -> DataFrame:
     f = (wh.billing_lines.groupBy("DATE_SK", "PRODUCT_LINE", "SALES_ORG_ID")
            .agg(F.sum("NET_AMOUNT").alias("NET_AMOUNT"), F.sum("QUANTITY").alias("QUANTITY")))
     d = F.broadcast(wh.dim_date.select("DATE_SK", "YEAR", "MONTH"))  # bounded by the calendar span
-    o = wh.dim_sales_org.select("SALES_ORG_ID", "SALES_ORG_NAME")
+    o = wh.stg_sales_org.select("SALES_ORG_ID", "SALES_ORG_NAME")  # names only: no key is numbered for them
     if grain_safe:
         o = o.distinct()
     o = small(o, DIM_BROADCAST_ROWS)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from saleswh.catalog import query
 from saleswh.oracle.ctes import CTES, with_ctes
-from saleswh.plans import analytics, marts
+from saleswh.plans import analytics, learned, marts
 from saleswh.plans.warehouse import Warehouse
 from saleswh.sources import bridge
 
@@ -187,4 +188,87 @@ def q_complaint_summaries(spark, sf_dir):
     return analytics.summarize(c, "RECLAMO_ID", "TEXTO")
 
 
-_ = F
+# ------------------------------------------------------------------ learned from seeds
+CTES["text_words"] = """
+SELECT DISTINCT doc_id, coalesce(lang, 'und') AS lang, w
+FROM (SELECT doc_id, lang, unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS w FROM documents) WHERE w <> ''
+"""
+CTES["label_seeds"] = """
+WITH known AS (
+  SELECT doc_id, t.lang, w, toxic = 0 AS good FROM text_words t JOIN labels USING (doc_id) WHERE toxic = 1 OR quality = 1),
+sizes AS (SELECT lang, count(*) FILTER (good) AS ng, count(*) FILTER (NOT good) AS nb FROM (SELECT DISTINCT doc_id, lang, good FROM known) GROUP BY lang),
+counts AS (SELECT lang, w, count(*) FILTER (good) AS g, count(*) FILTER (NOT good) AS b FROM known GROUP BY lang, w HAVING count(*) >= 3),
+rated AS (SELECT lang, w, g * nb - b * ng AS gain FROM counts JOIN sizes USING (lang))
+SELECT lang, w, p FROM (
+  SELECT lang, w, 1 AS p, row_number() OVER (PARTITION BY lang ORDER BY gain DESC, w) AS r FROM rated WHERE gain > 0
+  UNION ALL SELECT lang, w, -1, row_number() OVER (PARTITION BY lang ORDER BY gain, w) FROM rated WHERE gain < 0) WHERE r <= 20
+"""
+
+
+def _label_seeds(spark, sf_dir, docs):
+    labels = bridge.table(spark, sf_dir, "labels").where("toxic = 1 or quality = 1").select("doc_id", (F.col("toxic") == 0).alias("good"))
+    return learned.seeds_of_labels(learned.words(docs, "doc_id", "text", "lang"), labels, "doc_id")
+
+
+@query("sentiment_learned", "D4", with_ctes("""
+WITH sides AS (SELECT doc_id, lang, bool_or(p > 0) AS pos, bool_or(p < 0) AS neg FROM text_words JOIN label_seeds USING (lang, w) GROUP BY doc_id, lang),
+n AS (SELECT lang, count(*) FILTER (pos) AS np, count(*) FILTER (neg) AS nn FROM sides GROUP BY lang),
+counts AS (SELECT lang, w, count(*) FILTER (pos) AS cp, count(*) FILTER (neg) AS cn FROM text_words JOIN sides USING (doc_id, lang) GROUP BY lang, w),
+pol AS (SELECT lang, w, CAST(round(ln(CAST((cp + 1) * (nn + 2) AS DOUBLE) / CAST((cn + 1) * (np + 2) AS DOUBLE)) * 1000) AS BIGINT) AS pol FROM counts JOIN n USING (lang)),
+sums AS (SELECT doc_id, sum(pol) AS s, sum(abs(pol)) AS a FROM text_words JOIN pol USING (lang, w) GROUP BY doc_id)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, round(coalesce(CAST(s AS DOUBLE) / nullif(CAST(a AS DOUBLE), 0), 0), 4) AS SENTIMIENTO
+FROM documents d LEFT JOIN sums USING (doc_id)"""))
+def q_sentiment_learned(spark, sf_dir):
+    """Sentiment of every document in its language; the seeds of each language are the words that most tell documents
+    labelled good from those labelled toxic."""
+    docs = bridge.table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return learned.sentiment(docs, "doc_id", "text", "lang", _label_seeds(spark, sf_dir, docs))
+
+
+#: Categories by keywords; in texts of invented words, by the words at these ranks of frequency in each language too.
+LABELS = [name for name, _ in analytics.CATEGORIES]
+FIRST_RANK, LAST_RANK = 41, 80
+_KEYWORDS = [(w, i) for i, (_, ws) in enumerate(analytics.CATEGORIES) for w in ws]
+CTES["category_seeds"] = f"""
+SELECT w, min(label) AS label FROM (
+  SELECT * FROM (VALUES {", ".join(f"('{w}', {i})" for w, i in _KEYWORDS)}) v(w, label)
+  UNION ALL
+  SELECT w, CAST(r % 4 AS INTEGER) FROM (SELECT w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS r FROM text_words GROUP BY lang, w)
+  WHERE r BETWEEN {FIRST_RANK} AND {LAST_RANK}) GROUP BY w
+"""
+
+
+def _bayes_sql(name: str, labels: str) -> str:
+    """A round of the model: from (doc_id, label) to the labels it gives."""
+    logs = ", ".join(f"CAST(round(ln(CAST(count(*) FILTER (label = {i}) + 1 AS DOUBLE) / (any_value(n{i}) + 2)) * 1000) AS BIGINT) AS l{i}" for i in range(4))
+    sums = ", ".join(f"sum(l{i}) + CAST(round(ln((any_value(n{i}) + 1.0) / (any_value(n0 + n1 + n2 + n3) + 4)) * 1000) AS BIGINT) AS s{i}" for i in range(4))
+    sizes = ", ".join(f"count(*) FILTER (label = {i}) AS n{i}" for i in range(4))
+    best = " ".join(f"WHEN s{i} = greatest(s0, s1, s2, s3) THEN {i}" for i in range(4))
+    return f"""
+{name}_n AS (SELECT {sizes} FROM {labels}),
+{name}_m AS (SELECT w, {logs} FROM text_words JOIN {labels} USING (doc_id), {name}_n GROUP BY w),
+{name} AS (SELECT doc_id, CASE {best} END AS label FROM (SELECT doc_id, {sums} FROM text_words JOIN {name}_m USING (w), {name}_n GROUP BY doc_id))"""
+
+
+_LEARN = "doc_id % 5 <> 0"
+
+
+@query("categories_learned", "D5", with_ctes(f"""
+WITH seeded AS (
+  SELECT doc_id, label FROM (SELECT doc_id, label, count(*) AS n FROM text_words JOIN category_seeds USING (w) GROUP BY doc_id, label)
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, label) = 1),
+seeded_learn AS (SELECT * FROM seeded WHERE {_LEARN}),{_bayes_sql('first_round', 'seeded_learn')},
+first_learn AS (SELECT * FROM first_round WHERE {_LEARN}),{_bayes_sql('second_round', 'first_learn')},
+names AS (SELECT unnest({[*range(4)]}) AS label, unnest({LABELS}) AS name)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, a.name AS CATEGORIA, b.name AS SEED
+FROM documents d LEFT JOIN second_round f USING (doc_id) LEFT JOIN names a ON a.label = f.label
+LEFT JOIN seeded s ON s.doc_id = d.doc_id LEFT JOIN names b ON b.label = s.label"""))
+def q_categories_learned(spark, sf_dir):
+    """Category of every document by naive Bayes from seeds, learned from four of five documents; and the seeds' own."""
+    docs = bridge.table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    tokens = learned.words(docs, "doc_id", "text", "lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
+    common = tokens.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("r", rank).where(F.col("r") <= LAST_RANK)
+    common = common.where(F.col("r") >= FIRST_RANK).select("w", (F.col("r") % 4).cast("int").alias("label"))
+    seeds = spark.createDataFrame(_KEYWORDS, "w string, label int").union(common).groupBy("w").agg(F.min("label").alias("label"))
+    return learned.seeded_bayes(docs, "doc_id", "text", "lang", seeds, LABELS, F.col("doc_id") % 5 == 0)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh.catalog import query
 from saleswh.oracle import silver_ctes  # noqa: F401  (registers the bronze CTEs)
 from saleswh.oracle.ctes import with_ctes
+from saleswh.session import checkpoint_dir
 from saleswh.sources import bridge, odata
+from saleswh.streaming import landing
 
 SO_RENAME = odata.ENTITIES[0]["rename"]
 RECORD = T.StructType([T.StructField("__metadata", T.StructType([T.StructField("uri", T.StringType())]))] + [
@@ -152,3 +156,79 @@ def q_rescued_items(spark, sf_dir):
                       F.when(k == 7, "N/A").otherwise(F.col("NetAmount")).alias("NetAmount"),
                       F.when(k == 6, "x").alias("ZZ_EXTRA"))
     return odata.rescue(landed, EXPECTED_ITEM)
+
+
+# ------------------------------------------------------------------ landed files, ledger, stored watermark
+def _folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}/{uuid.uuid4().hex}"
+
+
+@query("load_ledger", "S17,S18,S16", """
+SELECT 'headers' AS entity, d AS delivery, 'LOADED' AS status, CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS bad_files
+FROM (SELECT if(o_orderdate < TIMESTAMP '1996-01-01', '1', '2') AS d FROM orders) GROUP BY d
+UNION ALL SELECT 'headers', '2', 'ERROR', 0, 2
+UNION ALL SELECT 'customers', '1', 'LOADED', count(*), 0 FROM customer
+UNION ALL SELECT 'TABLE headers', '-', 'ROWS', count(*), 0 FROM orders""")
+def q_load_ledger(spark, sf_dir):
+    """Two deliveries of order headers and one of customers, loaded by two runs of two pipes (the second run twice).  The
+    second delivery has two files that are no Parquet files: the ledger says so, and the others are loaded."""
+    base = _folder(spark, "ledger")
+    orders = bridge.table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp")
+    pipes = [landing.Pipe(spark, n, f"{base}/landing/{n}", f"{base}/{n}") for n in ("headers", "customers")]
+    bridge.table(spark, sf_dir, "customer", "c_custkey", "c_name").write.parquet(f"{base}/landing/customers/delivery=1")
+    for run, cond in ((1, early), (2, ~early), (2, ~early)):
+        orders.where(cond).write.mode("ignore").parquet(f"{base}/landing/headers/delivery={run}")
+        if run == 2:
+            for n in range(2):
+                landing.put_bytes(spark, f"{base}/landing/headers/delivery=2/broken-{n}.parquet", b"this is no Parquet file")
+        landing.load_all(pipes, run, "2001-09-01 00:00:00")
+    ledger = pipes[0].ledger().unionByName(pipes[1].ledger())
+    delivery = F.regexp_extract("file", "delivery=([0-9]+)", 1).alias("delivery")
+    totals = ledger.groupBy("entity", delivery, "status").agg(F.sum("row_count").alias("row_count"), F.count_if(F.col("error").isNotNull()).alias("bad_files"))
+    rows = pipes[0].read().agg(F.count(F.lit(1)).alias("row_count"))
+    return totals.unionByName(rows.select(F.lit("TABLE headers").alias("entity"), F.lit("-").alias("delivery"), F.lit("ROWS").alias("status"),
+                                          "row_count", F.lit(0).alias("bad_files")))
+
+
+@query("ingest_schema_log", "S11,S12,S14,S15,S13", """
+SELECT CAST(l_orderkey AS BIGINT) AS id, CAST(l_linenumber AS BIGINT) AS line,
+  CAST(if(part = 2 AND l_orderkey % 10 = 3, NULL, CAST(l_quantity AS INTEGER)) AS BIGINT) AS qty,
+  if(part = 2, l_returnflag, NULL) AS flag,
+  if(part = 2 AND l_orderkey % 10 = 3, '{"qty":"n/a ' || l_linenumber || '"}', NULL) AS rescued
+FROM (SELECT *, if(l_orderkey % 2 = 0, 1, 2) AS part FROM lineitem)""")
+def q_ingest_schema_log(spark, sf_dir):
+    """Order lines landed twice by two systems: the first writes short ids and whole quantities, the second long ids,
+    quantities as text, some of them no numbers, and one column more.  Nothing stops and no value is lost."""
+    base = _folder(spark, "schema-log")
+    li = bridge.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    qty = F.col("l_quantity").cast("int")
+    odd = F.col("l_orderkey") % 2 != 0
+    first = li.where(~odd).select(F.col("l_orderkey").cast("int").alias("id"), F.col("l_linenumber").cast("int").alias("line"), qty.alias("qty"))
+    text = F.when(F.col("l_orderkey") % 10 == 3, F.concat(F.lit("n/a "), F.col("l_linenumber").cast("string"))).otherwise(qty.cast("string"))
+    later = li.where(odd).select(F.col("l_orderkey").cast("long").alias("id"), F.col("l_linenumber").cast("int").alias("line"), text.alias("qty"),
+                                 F.col("l_returnflag").alias("flag"))
+    pipe = landing.Pipe(spark, "lines", f"{base}/landing", f"{base}/lines")
+    for run, df in enumerate((first, later)):
+        df.write.parquet(f"{base}/landing/delivery={run}")
+        pipe.load(run, "2001-09-01 00:00:00")
+    return pipe.read().select("id", "line", "qty", "flag", F.col(landing.RESCUED).alias("rescued"))
+
+
+@query("extract_resumable", "S4,S5,S6,S7,S10", """
+WITH o AS (SELECT o_orderkey, o_orderdate FROM orders),
+cut AS (SELECT max(o_orderdate) AS c FROM (SELECT o_orderdate FROM o ORDER BY o_orderdate LIMIT 500))
+SELECT 'slice' AS what, CAST(o_orderkey AS BIGINT) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at FROM o
+UNION ALL SELECT 'watermark 1', NULL, strftime(c, '%Y-%m-%d %H:%M:%S') FROM cut
+UNION ALL SELECT 'watermark 2', NULL, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM o""")
+def q_extract_resumable(spark, sf_dir):
+    """The orders by change time in two slices, the first of about 500 rows, each published with its watermark; run 1 is
+    repeated after it has been published, and run 2 begins where it ended."""
+    orders = bridge.table(spark, sf_dir, "orders", "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    job, marks = odata.Extraction(spark, _folder(spark, "extract"), "o_orderdate"), []
+    for run, most in ((1, 500), (1, 500), (2, None)):
+        job.run(run, orders, most)
+        marks.append(job.watermark())
+    stamps = spark.createDataFrame([("watermark 1", marks[1]), ("watermark 2", marks[2])], "what string, at string")
+    return job.read().select(F.lit("slice").alias("what"), "o_orderkey", F.col("o_orderdate").alias("at")).unionByName(
+        stamps.select("what", F.lit(None).cast("long").alias("o_orderkey"), F.col("at").cast("timestamp").alias("at")))

@@ -100,6 +100,11 @@ def stg_budget(raw: DataFrame) -> DataFrame:
 ORDER_PROPAGATE_UPDATE = ["ORDER_DATE", "CUSTOMER_ID", "PRODUCT_ID", "QUANTITY", "NET_AMOUNT", "_LOADED_AT"]
 
 
+#: The same for billing and customers: what a re-delivered document or master row may change.
+BILLING_PROPAGATE_UPDATE = ["BILLING_DATE", "CUSTOMER_ID", "PRODUCT_ID", "QUANTITY", "NET_AMOUNT", "_LOADED_AT"]
+CUSTOMER_PROPAGATE_UPDATE = ["CUSTOMER_NAME", "TAX_ID", "EMAIL", "CITY", "REGION", "CUSTOMER_GROUP", "ROW_HASH", "_LOADED_AT"]
+
+
 def propagate_orders(changes_raw: DataFrame, stg: DataFrame) -> DataFrame:
     """Change feed of RAW orders -> STAGING.
 

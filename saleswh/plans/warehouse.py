@@ -7,6 +7,7 @@ expanded, pruning reaches the parquet scans).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,16 +100,26 @@ def current(dim: DataFrame, flag: str = "IS_CURRENT") -> DataFrame:
 
 
 # ------------------------------------------------------------------ facts
-def fact_sales_orders_src(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
-                          dim_org: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Lookups:
+    """Natural and surrogate keys of the current dimension rows, broadcast where small."""
+
+    customer: DataFrame
+    product: DataFrame
+    org: DataFrame
+
+    @classmethod
+    def of(cls, dim_customer: DataFrame, dim_product: DataFrame, dim_org: DataFrame) -> Lookups:
+        return cls(small(current(dim_customer).select("CUSTOMER_ID", "CUSTOMER_SK"), DIM_BROADCAST_ROWS),
+                   small(current(dim_product).select("PRODUCT_ID", "PRODUCT_SK"), DIM_BROADCAST_ROWS),
+                   small(dim_org.select("SALES_ORG_ID", "CHANNEL_ID", "DIVISION_ID", "SALES_ORG_SK"), DIM_BROADCAST_ROWS))
+
+
+def fact_sales_orders_src(stg: DataFrame, keys: Lookups) -> DataFrame:
     """D-9 source: dated rows, latest per (order, item), lookups without fallback."""
     s = latest(stg.where(F.col("ORDER_DATE").isNotNull()), ["ORDER_ID", "ITEM_NO"], ["_LOADED_AT"])
-    c = small(current(dim_customer).select("CUSTOMER_ID", "CUSTOMER_SK"), DIM_BROADCAST_ROWS)
-    p = small(current(dim_product).select("PRODUCT_ID", "PRODUCT_SK"), DIM_BROADCAST_ROWS)
-    o = small(dim_org.select("SALES_ORG_ID", "CHANNEL_ID", "DIVISION_ID", "SALES_ORG_SK"),
-              DIM_BROADCAST_ROWS)
-    j = (s.join(c, "CUSTOMER_ID", "left").join(p, "PRODUCT_ID", "left")
-          .join(o, ["SALES_ORG_ID", "CHANNEL_ID", "DIVISION_ID"], "left"))
+    j = (s.join(keys.customer, "CUSTOMER_ID", "left").join(keys.product, "PRODUCT_ID", "left")
+          .join(keys.org, ["SALES_ORG_ID", "CHANNEL_ID", "DIVISION_ID"], "left"))
     return j.select("ORDER_ID", "ITEM_NO", date_key("ORDER_DATE", None).cast("bigint").alias("DATE_SK"),
                     "CUSTOMER_SK", "PRODUCT_SK", "SALES_ORG_SK", "QUANTITY", "NET_AMOUNT", "CURRENCY",
                     "_LOADED_AT")
@@ -120,11 +131,9 @@ def billing_rows(stg: DataFrame) -> DataFrame:
     return s.withColumn("DATE_SK", date_key("BILLING_DATE", None).cast("bigint"))
 
 
-def fact_billing_src(stg: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+def fact_billing_src(stg: DataFrame, keys: Lookups) -> DataFrame:
     """D-10 source: dated rows, latest per (billing, item), with the dimension keys."""
-    c = small(current(dim_customer).select("CUSTOMER_ID", "CUSTOMER_SK"), DIM_BROADCAST_ROWS)
-    p = small(current(dim_product).select("PRODUCT_ID", "PRODUCT_SK"), DIM_BROADCAST_ROWS)
-    j = billing_rows(stg).drop("DATE_SK").join(c, "CUSTOMER_ID", "left").join(p, "PRODUCT_ID", "left")
+    j = billing_rows(stg).drop("DATE_SK").join(keys.customer, "CUSTOMER_ID", "left").join(keys.product, "PRODUCT_ID", "left")
     return j.select("BILLING_ID", "ITEM_NO", date_key("BILLING_DATE", None).cast("bigint").alias("DATE_SK"),
                     "CUSTOMER_SK", "PRODUCT_SK", "SALES_ORG_ID", "QUANTITY", "NET_AMOUNT", "CURRENCY",
                     "REF_ORDER_ID", "_LOADED_AT")
@@ -218,30 +227,32 @@ class Warehouse:
     def dim_date(self):
         return dim_date_iso(self.spark, *self.calendar_span)
 
+    # numbering writes each dimension once; what it returns is a scan of that table
     @cached_property
     def dim_customer(self):
-        return self._commit(initial_scd2(self.stg_customers, "CUSTOMER_ID", "CUSTOMER_SK", CUSTOMER_COLS,
-                                         self.as_of))
+        return initial_scd2(self.stg_customers, "CUSTOMER_ID", "CUSTOMER_SK", CUSTOMER_COLS, self.as_of)
 
     @cached_property
     def dim_product(self):
-        return self._commit(initial_scd2(self.stg_materials, "PRODUCT_ID", "PRODUCT_SK", PRODUCT_COLS,
-                                         self.as_of))
+        return initial_scd2(self.stg_materials, "PRODUCT_ID", "PRODUCT_SK", PRODUCT_COLS, self.as_of)
 
     @cached_property
     def dim_sales_org(self):
-        return self._commit(dim_sales_org(self.stg_sales_org))
+        return dim_sales_org(self.stg_sales_org)
+
+    @cached_property
+    def lookups(self) -> Lookups:
+        """The keys of the dimensions, measured once for all facts that look them up."""
+        return Lookups.of(self.dim_customer, self.dim_product, self.dim_sales_org)
 
     @cached_property
     def fact_sales_orders(self):
-        src = fact_sales_orders_src(self.stg_sales_orders, self.dim_customer, self.dim_product,
-                                    self.dim_sales_org)
         # first MERGE into an empty target == the deduplicated source
-        return src
+        return fact_sales_orders_src(self.stg_sales_orders, self.lookups)
 
     @cached_property
     def fact_billing(self):
-        return fact_billing_src(self.stg_billing, self.dim_customer, self.dim_product)
+        return fact_billing_src(self.stg_billing, self.lookups)
 
     @cached_property
     def fact_budget(self):
@@ -250,23 +261,27 @@ class Warehouse:
 
     @cached_property
     def billing_lines(self):
-        """Billing rows with the product attributes that the marts group by; no customer is looked up for them."""
-        p = small(current(self.dim_product).select("PRODUCT_ID", "PRODUCT_LINE"), DIM_BROADCAST_ROWS)
+        """Billing rows with the product line that the marts group by.
+
+        The marts read no surrogate key, so lines come from the staged master
+        (all of it is current after the initial load) and no dimension is built.
+        """
+        p = small(self.stg_materials.select("PRODUCT_ID", "PRODUCT_LINE"), DIM_BROADCAST_ROWS)
         return billing_rows(self.stg_billing).join(p, "PRODUCT_ID")
 
     def merged_fact_sales_orders(self, cutoff: str) -> DataFrame:
         """M1: the fact loaded up to a cut-off and committed, then the later rows merged into it."""
         cut = F.lit(cutoff).cast("timestamp_ntz")
-        dims = (self.dim_customer, self.dim_product, self.dim_sales_org)
-        loaded = fact_sales_orders_src(self.stg_sales_orders.where(F.col("_LOADED_AT") < cut), *dims)
-        later = fact_sales_orders_src(self.stg_sales_orders.where(F.col("_LOADED_AT") >= cut), *dims)
+        staged = self.committed_sales_orders  # built from RAW once, for both sides of the cut-off
+        loaded = fact_sales_orders_src(staged.where(F.col("_LOADED_AT") < cut), self.lookups)
+        later = fact_sales_orders_src(staged.where(F.col("_LOADED_AT") >= cut), self.lookups)
         return merge_upsert(self._commit(loaded, "fact_sales_orders"), later, ["ORDER_ID", "ITEM_NO"], update=ORDER_UPDATE)
 
     def merged_fact_billing(self, cutoff: str) -> DataFrame:
         """M2: billing loaded up to a cut-off, then the later deliveries; those of known rows update
         NET_AMOUNT and _LOADED_AT only."""
         cut = F.lit(cutoff).cast("timestamp_ntz")
-        dims = (self.dim_customer, self.dim_product)
-        loaded = fact_billing_src(self.stg_billing.where(F.col("_LOADED_AT") < cut), *dims)
-        later = fact_billing_src(self.stg_billing.where(F.col("_LOADED_AT") >= cut), *dims)
+        staged = self._commit(self.stg_billing, "stg_billing")
+        loaded = fact_billing_src(staged.where(F.col("_LOADED_AT") < cut), self.lookups)
+        later = fact_billing_src(staged.where(F.col("_LOADED_AT") >= cut), self.lookups)
         return merge_upsert(self._commit(loaded, "fact_billing"), later, ["BILLING_ID", "ITEM_NO"], update=BILLING_UPDATE)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from saleswh.functions.sap import odata_to_yyyymmdd
+from saleswh.operators.commit import File, attempts, live
 
 # Entity catalogue (OData field -> RAW column), incremental field.
 ENTITIES = [
@@ -103,6 +104,45 @@ def next_watermark(df: DataFrame, field: str, mode: str = "max", previous: str |
         F.coalesce(F.col("_m"), F.lit(prev).cast("timestamp")).alias("watermark"))
 
 
+class Extraction:
+    """S4-S7 with stored state: slices of a source, landed in a committed table together with the watermark.
+
+    A slice and the watermark after it are one version of the table, so a run
+    that stops before it is published has done nothing, and one that is
+    repeated finds its slice there: none is skipped and none lands twice.
+    ``most`` bounds a slice to about that many of the oldest changes; rows
+    that changed at the same time as the last of them belong to it too, so
+    the next slice can begin after that time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, field: str, keep: int = 2):
+        self.spark, self.root, self.field, self.keep = spark, root, field, keep
+
+    def watermark(self) -> str | None:
+        found = live(self.spark, self.root)
+        return found.state.get("watermark") if found else None
+
+    def read(self) -> DataFrame | None:
+        found = live(self.spark, self.root)
+        return found.read(self.spark, self.root) if found else None
+
+    def run(self, number: int, source: DataFrame, most: int | None = None, static_filter: Column | None = None, full_load: bool = False) -> bool:
+        """Land the next slice of ``source`` as run ``number``; False if that run has been published."""
+        def write(base, folder: str) -> tuple:
+            mark = base.state.get("watermark") if base else None
+            rows = incremental_slice(source, self.field, mark, static_filter, full_load)
+            if most is not None:
+                last = rows.select(self.field).where(F.col(self.field).isNotNull()).orderBy(self.field).limit(most).agg(F.max(self.field)).first()[0]
+                rows = rows.where(F.col(self.field) <= F.lit(last)) if last is not None else rows.limit(0)
+            rows.write.parquet(f"{self.root}/{folder}")
+            landed = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}")
+            after = next_watermark(landed, self.field, previous=mark).first()[0]  # of what has landed, not of the source again
+            files = [] if full_load or not base else list(base.files)
+            return rows.schema, [*files, File(folder)], {"watermark": f"{after:%Y-%m-%d %H:%M:%S.%f}"}
+
+        return attempts(self.spark, self.root, f"run{number}", write, self.keep)
+
+
 def take_oldest(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     """Stable 'oldest changes first, top N' slice (page size is the feature)."""
     return df.orderBy(*order).limit(n)
