@@ -66,7 +66,7 @@ class Limits:
     """Phrases of a container before it bursts, of a task's tries before they spill, and of a run that are merged at once."""
 
     burst: int = 4096
-    held: int = 1_000_000
+    held: int = 400_000
     merged: int = 1 << 16
     slice_bytes: int = W.SLICE_BYTES
 

@@ -8,8 +8,8 @@ of the article or not, in the context of the whole page.
 The labeller is trained at each run on at most ``SAMPLE`` pages, chosen by a
 hash of the page.  Their labels come from markup that says what it is (an
 ``<article>``, a ``<nav>``, a class ``comments``); blocks without such markup
-teach nothing; where no page of the sample has both kinds, a small page of our
-own (``EXAMPLE``) is added.  So that it learns more than the few tags a site uses, each
+teach nothing; where no page of the sample has both kinds, small pages of our
+own (``examples``) are added.  So that it learns more than the few tags a site uses, each
 page is also shown with its containers renamed to others of the same kind,
 with foreign boxes inside the article, and with all telling names removed,
 when only words, measures and neighbours are left to tell.
@@ -49,20 +49,34 @@ OTHER_WORDS = ["nav", "navbar", "menu", "footer", "header", "sidebar", "aside",
                "search", "share", "social", "related", "recommended", "breadcrumb", "breadcrumbs", "pagination", "widget", "copyright", "legal", "toolbar", "tags"]
 _ARTICLE, _OTHER_TAGS, _OTHER_WORDS = {w for a in ARTICLE for w in a.split()} - {"body", "text"}, set(OTHER_TAGS) - {"figure"}, set(OTHER_WORDS)
 
-#: A page to train on where no page of the sample says what its blocks are.
-EXAMPLE = """<html><body><header><h1>The Valley Times</h1><ul><li><a href="/">Home</a></li><li><a href="/news">News</a></li><li><a href="/about">About us</a></li></ul></header>
-<nav><ul><li><a href="/a">Sport</a></li><li><a href="/b">Weather</a></li><li><a href="/c">Culture</a></li></ul></nav>
-<div class="notice">We use cookies. <a href="/ok">Accept all</a></div>
-<article><h2>A bridge opens after ten years of work</h2>
-<p>The new bridge across the river was opened on Monday, ten years after the first plans were drawn up, and hundreds of people came to walk over it.</p>
-<p>Builders had to stop twice, first because of a flood in the spring, and later because the ground under the northern pier proved too soft.</p>
-<h3>What it means for the town</h3>
-<p>Until now the way to the hospital took half an hour; it takes five minutes today, says the mayor, who thanked the workers in a short speech.</p>
-<ul><li>The bridge is four hundred metres long, and it has two lanes for bicycles.</li><li>Lorries of more than seven tonnes must still take the old road.</li></ul></article>
-<aside><h3>Most read</h3><ul><li><a href="/1">Ten recipes for summer</a></li><li><a href="/2">Who won the cup?</a></li></ul><div class="ad">Buy two, pay one! <a href="/buy">Order now</a></div></aside>
-<section class="comments"><h3>2 comments</h3><p>anna: great news!</p><p>tom: at last</p></section>
-<form class="newsletter"><label>Your mail</label><button>Subscribe</button></form>
-<footer><p>© The Valley Times</p><a href="/legal">Legal notice</a> <a href="/contact">Contact</a></footer></body></html>"""
+#: Parts of the pages to train on where no page of the sample says what its blocks are.
+BOXES = ["<header><div>The Valley Times</div><ul><li><a href=/>Home</a></li><li><a href=/news>News</a></li><li><a href=/about>About us</a></li></ul></header>",
+         "<nav><ul><li><a href=/a>Sport</a></li><li><a href=/b>Weather</a></li><li><a href=/c>Culture</a></li><li><a href=/d>Travel</a></li></ul></nav>",
+         "<div class=notice>We use cookies. <a href=/ok>Accept all</a></div>",
+         "<aside><h3>Most read</h3><ul><li><a href=/1>Ten recipes for summer</a></li><li><a href=/2>Who won the cup?</a></li></ul></aside>",
+         "<div class=ad>Buy two, pay one! <a href=/buy>Order now</a></div>",
+         "<section class=comments><h3>2 comments</h3><p>anna: great news!</p><p>tom: at last</p></section>",
+         "<form class=newsletter><label>Your mail</label><button>Subscribe</button></form>",
+         "<footer><p>© The Valley Times</p><a href=/legal>Legal notice</a> <a href=/contact>Contact</a></footer>"]
+PARTS = ["<p>The new bridge across the river was opened on Monday, ten years after the first plans were drawn up, and hundreds of people came to walk over it.</p>",
+         "<p>Builders had to stop twice, first because of a flood in the spring, and later because the ground under the northern pier proved too soft.</p>",
+         "<p>Until now the way to the hospital took half an hour; it takes five minutes today, says the mayor, who thanked the workers in a short speech.</p>",
+         "<h3>What it means for the town</h3>", "<p>It was a long wait.</p>",
+         "<ul><li>The bridge is four hundred metres long, and it has two lanes for bicycles.</li><li>Lorries of more than seven tonnes must take the old road.</li></ul>",
+         "<p>The council wants to plant trees along the bank next year. Whether there is money for it will be decided in the autumn, when the budget comes up.</p>"]
+EXAMPLES = 24
+
+
+def examples() -> Iterator[list[Block]]:
+    """Small pages of our own: an article of some parts, with some boxes before and after it."""
+    rng = np.random.default_rng(11)
+    for _ in range(EXAMPLES):
+        boxes = [BOXES[i] for i in rng.permutation(len(BOXES))[:rng.integers(2, len(BOXES) + 1)]]
+        cut = int(rng.integers(len(boxes) + 1))
+        level = f"h{rng.integers(1, 3)}"
+        title = f"<{level}>A bridge opens after ten years</{level}>" if rng.random() < 0.8 else ""
+        parts = "".join(PARTS[i] for i in rng.integers(0, len(PARTS), rng.integers(2, 12)))
+        yield blocks(f"<html><body>{''.join(boxes[:cut])}<article>{title}{parts}</article>{''.join(boxes[cut:])}</body></html>")
 
 
 def marked(path: Path) -> int | None:
@@ -286,8 +300,8 @@ def fit(pages: DataFrame) -> Labeller:
     sample = [blocks(r["html"]) for r in small.orderBy("_draw", "html").limit(SAMPLE).collect()]
     sample = [p for p in sample if p and sum(b.node.depth if b.node else 0 for b in p) <= SAMPLE_DEPTH]
     told = {marked(b.path) for p in sample for b in p}
-    if not {0, 1} <= told:  # no page says what is what: an example of our own does
-        sample.append(blocks(EXAMPLE))
+    if not {0, 1} <= told:  # no page says what is what: examples of our own do
+        sample += examples()
     rng, shown = np.random.default_rng(7), []
     for page in sample:
         content = _content_vectors([page])
