@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleswh.plans import marts
+from saleswh.plans.warehouse import Warehouse
+
 # Privileged roles, the mask text and the e-mail mask rule.
 PRIVILEGED_ROLES = ("R_DATA_ANALYST", "R_DATA_ENGINEER", "ACCOUNTADMIN", "SYSADMIN")
 MASK = "***PROTEGIDO***"
@@ -65,3 +68,10 @@ def publish_views(spark: SparkSession, role: str, objects: dict[str, tuple[str,
             mask_pii(df, role).createOrReplaceTempView(name)
             names.append(name)
     return names
+
+
+def named_views(wh: Warehouse) -> dict[str, tuple[str, DataFrame]]:
+    """The KPI and model-input views by name, for ``publish_views``: what reports and models read."""
+    views = {"v_ventas_mensuales": marts.monthly_sales(wh), "v_cumplimiento_ppto": marts.budget_attainment(wh),
+             "model_daily_sales": marts.daily_sales(wh), "model_daily_billing": marts.daily_billing(wh), "model_driver_base": marts.driver_base(wh)}
+    return {name: ("curated", df) for name, df in views.items()}

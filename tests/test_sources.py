@@ -103,3 +103,15 @@ def test_publish_views_by_role(spark):
     assert set(governance.publish_views(spark, "R_ANALYST_MASKED", objs)) == set(objs)
     assert spark.table("dim_customer").first().EMAIL == "*****@b.c"
     _ = F
+
+
+def test_named_views(spark):
+    from saleswh.plans import governance, marts
+    from saleswh.plans.warehouse import Warehouse
+    wh = Warehouse(spark, "/root/testdata/sf0.001")
+    views = governance.named_views(wh)
+    assert governance.publish_views(spark, "R_GERENCIA", views) == ["v_ventas_mensuales", "v_cumplimiento_ppto"]
+    assert set(governance.publish_views(spark, "R_ML_SERVICE", views)) == set(views)
+    total = spark.sql("SELECT sum(VENTA_NETA) AS s FROM v_ventas_mensuales").first().s
+    assert total == marts.monthly_sales(wh).groupBy().sum("VENTA_NETA").first()[0] and total > 0
+    assert spark.sql("SELECT count(*) FROM model_daily_sales WHERE VENTA > 0").first()[0] > 0
