@@ -100,18 +100,12 @@ def detect_anomalies(df: DataFrame, series: str, ts: str, y: str, as_of: str, da
 # ------------------------------------------------------------------ drivers
 def top_drivers(df: DataFrame, dims: list[str], label: str, metric: str, k: int = 10) -> DataFrame:
     """D3: segments (single dims and pairs) ranked by |relative change| current vs previous."""
-    sets = [(d,) for d in dims] + list(combinations(dims, 2))
-    spark = df.sparkSession
+    sets = [[F.col(d) for d in some] for some in [*((d,) for d in dims), *combinations(dims, 2)]]
     # sums are decomposable: aggregate to the dimensions and the period before the sets expand the rows
     df = df.groupBy(*dims, label).agg(F.sum(metric).alias(metric))
-    df.createOrReplaceTempView("_drivers_input")
-    gs = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    cols = ", ".join(dims)
-    out = spark.sql(f"""
-        SELECT {cols}, grouping_id({cols}) AS GID,
-               SUM(CASE WHEN {label} THEN {metric} ELSE 0 END) AS CURRENT_SUM,
-               SUM(CASE WHEN NOT {label} THEN {metric} ELSE 0 END) AS PREVIOUS_SUM
-        FROM _drivers_input GROUP BY GROUPING SETS ({gs})""")
+    out = df.groupingSets(sets, *dims).agg(
+        F.grouping_id(*dims).alias("GID"), F.sum(F.when(F.col(label), F.col(metric)).otherwise(0)).alias("CURRENT_SUM"),
+        F.sum(F.when(~F.col(label), F.col(metric)).otherwise(0)).alias("PREVIOUS_SUM"))
     rel = (F.col("CURRENT_SUM").cast("double") - F.col("PREVIOUS_SUM").cast("double")) / \
         F.nullif(F.col("PREVIOUS_SUM").cast("double"), F.lit(0.0))
     out = out.withColumn("RELATIVE_CHANGE", F.round(rel, 6))
