@@ -14,9 +14,12 @@ says.  Counts are of texts that hold a word, each once.
 Logarithms are kept in thousandths, as integers, so sums do not depend on the
 order in which tasks add them.
 
-Scale: words are counted by partial aggregates and joined back on the word,
-whose side has one row for each word (AQE splits a word that a third of all
-texts has).  Seeds are a parameter, broadcast only where small.
+Scale: a text is one row with the array of its different words, and it is told
+from that row alone which seeds it holds.  Words are counted by partial
+aggregates; the tables of words that come out are broadcast if they are small
+(measured), else joined by shuffle, where AQE splits a word that a third of all
+texts has.  Words in fewer than ``least`` texts say nothing: they would be most
+of such a table.  Seeds are a parameter and small.
 """
 
 from __future__ import annotations
@@ -38,20 +41,21 @@ def _milli(x: Column) -> Column:
 
 
 def words(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(key, lang, w): the different words of each text."""
-    found = F.array_distinct(F.split(F.lower(F.col(text)), TOKEN_SPLIT))
-    return df.select(key, F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.explode(found).alias("w")).where("w <> ''")
+    """(key, lang, words): the different words of each text; no words: an empty array."""
+    found = F.array_remove(F.array_distinct(F.split(F.lower(F.col(text)), TOKEN_SPLIT)), "")
+    return df.select(key, F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(found, F.array().cast("array<string>")).alias("words"))
 
 
 # ------------------------------------------------------------------ seeds
-def seeds_of_labels(tokens: DataFrame, labels: DataFrame, key: str, many: int = 20, least: int = 3) -> DataFrame:
+def seeds_of_labels(texts: DataFrame, labels: DataFrame, key: str, many: int = 20, least: int = 3) -> DataFrame:
     """(lang, w, p): for each language the ``many`` words that most tell good texts (p = 1) from bad ones (p = -1).
 
     ``labels``: (key, good).  Words in fewer than ``least`` labelled texts are no seeds.
     """
-    known = tokens.join(labels, key)
-    sizes = known.select(key, "lang", "good").distinct().groupBy("lang").agg(F.count_if("good").alias("_ng"), F.count_if(~F.col("good")).alias("_nb"))
-    counts = known.groupBy("lang", "w").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")).where(F.col("g") + F.col("b") >= least)
+    known = texts.where(F.size("words") > 0).join(labels, key)
+    sizes = known.groupBy("lang").agg(F.count_if("good").alias("_ng"), F.count_if(~F.col("good")).alias("_nb"))
+    counts = known.select("lang", "good", F.explode("words").alias("w")).groupBy("lang", "w").agg(
+        F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")).where(F.col("g") + F.col("b") >= least)
     # both shares with one denominator, so that they compare as integers
     gain = F.col("g") * F.col("_nb") - F.col("b") * F.col("_ng")
     rated = counts.join(small(sizes, 100_000), "lang").select("lang", "w", gain.alias("gain"))
@@ -65,61 +69,70 @@ def seeds_of_labels(tokens: DataFrame, labels: DataFrame, key: str, many: int =
 
 
 # ------------------------------------------------------------------ D4
-def polarity(tokens: DataFrame, seeds: DataFrame, key: str) -> DataFrame:
+def polarity(texts: DataFrame, seeds: DataFrame, least: int = 3) -> DataFrame:
     """(lang, w, pol): thousandths of PMI with positive seeds less PMI with negative ones."""
-    tokens = materialize(tokens, "text_words")
-    sides = tokens.join(small(seeds, 100_000), ["lang", "w"]).groupBy(key, "lang").agg(F.bool_or(F.col("p") > 0).alias("pos"), F.bool_or(F.col("p") < 0).alias("neg"))
-    sides = materialize(sides, "seeded_texts")
-    n = sides.groupBy("lang").agg(F.count_if("pos").alias("_np"), F.count_if("neg").alias("_nn"))
-    with_word = tokens.join(sides, [key, "lang"]).groupBy("lang", "w").agg(F.count_if("pos").alias("cp"), F.count_if("neg").alias("cn"))
+    sides = seeds.groupBy("lang").agg(F.collect_list(F.when(F.col("p") > 0, F.col("w"))).alias("_p"), F.collect_list(F.when(F.col("p") < 0, F.col("w"))).alias("_n"))
+    rows = texts.join(small(sides, 100_000), "lang").select("lang", "words", F.arrays_overlap("words", "_p").alias("pos"), F.arrays_overlap("words", "_n").alias("neg"))
+    rows = rows.where("pos or neg")
+    n = rows.groupBy("lang").agg(F.count_if("pos").alias("_np"), F.count_if("neg").alias("_nn"))
+    counts = rows.select("lang", "pos", "neg", F.explode("words").alias("w")).groupBy("lang", "w").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("cp"), F.count_if("neg").alias("cn")).where(F.col("n") >= least)
     ratio = ((F.col("cp") + 1) * (F.col("_nn") + 2)).cast("double") / ((F.col("cn") + 1) * (F.col("_np") + 2)).cast("double")
-    return with_word.join(small(n, 100_000), "lang").select("lang", "w", _milli(ratio).alias("pol"))
+    return counts.join(small(n, 100_000), "lang").select("lang", "w", _milli(ratio).alias("pol"))
 
 
-def sentiment(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame) -> DataFrame:
+def sentiment(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame, least: int = 3) -> DataFrame:
     """(key, SENTIMIENTO): the polarities of a text's words, summed, over the sum of their sizes: -1 to 1; 0 without any."""
-    tokens = materialize(words(df, key, text, lang), "text_words")
-    rated = tokens.join(polarity(tokens, seeds, key), ["lang", "w"])
-    sums = rated.groupBy(key).agg(F.sum("pol").alias("_s"), F.sum(F.abs("pol")).alias("_a"))
+    texts = materialize(words(df, key, text, lang), "text_words")
+    rated = materialize(polarity(texts, materialize(seeds, "seeds"), least), "polarity")
+    hits = texts.select(key, "lang", F.explode("words").alias("w")).join(small(rated), ["lang", "w"])
+    sums = hits.groupBy(key).agg(F.sum("pol").alias("_s"), F.sum(F.abs("pol")).alias("_a"))
     score = F.col("_s").cast("double") / F.nullif(F.col("_a").cast("double"), F.lit(0.0))
     return df.select(key).join(sums, key, "left").select(key, F.round(F.coalesce(score, F.lit(0.0)), 4).alias("SENTIMIENTO"))
 
 
 # ------------------------------------------------------------------ D5
-def _model(tokens: DataFrame, labelled: DataFrame, key: str, labels: int) -> tuple[DataFrame, list[int]]:
-    """(w, l0, l1, ...): thousandths of the log share of texts of each label with the word; and the labels' texts."""
+def seed_label(seeds: DataFrame, labels: int) -> Column:
+    """The label with most seed words among ``words``, the first of equals; NULL without any.  ``seeds``: (w, label), few."""
+    by: list[list[str]] = [[] for _ in range(labels)]
+    for r in seeds.select("w", "label").collect():
+        by[r["label"]].append(r["w"])
+    hits = [F.size(F.array_intersect(F.col("words"), F.array(*map(F.lit, sorted(ws))).cast("array<string>"))) for ws in by]
+    best = F.array_max(F.array(*(F.struct(h.alias("n"), F.lit(-i).alias("l")) for i, h in enumerate(hits))))
+    return F.when(best["n"] > 0, -best["l"])
+
+
+def _model(labelled: DataFrame, labels: int, least: int) -> tuple[DataFrame, list[int]]:
+    """From (words, label): (w, l0, l1, ...), thousandths of the log share of texts of each label with the word; and the labels' texts."""
     found = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each label
     sizes = [next((r["n"] for r in found if r["label"] == i), 0) for i in range(labels)]
-    counts = tokens.join(labelled, key).groupBy("w").agg(*(F.count_if(F.col("label") == i).alias(f"n{i}") for i in range(labels)))
-    return counts.select("w", *(_milli((F.col(f"n{i}") + 1).cast("double") / F.lit(float(sizes[i] + 2))).alias(f"l{i}") for i in range(labels))), sizes
+    counts = labelled.select("label", F.explode("words").alias("w")).groupBy("w").agg(
+        F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("label") == i).alias(f"n{i}") for i in range(labels))).where(F.col("n") >= least)
+    logs = [_milli((F.col(f"n{i}") + 1).cast("double") / F.lit(float(sizes[i] + 2))).alias(f"l{i}") for i in range(labels)]
+    return materialize(counts.select("w", *logs), "bayes_model"), sizes
 
 
-def _labelled(tokens: DataFrame, model: DataFrame, sizes: list[int], key: str, labels: int) -> DataFrame:
+def _labelled(texts: DataFrame, model: DataFrame, sizes: list[int], key: str, labels: int) -> DataFrame:
     """(key, label): the most likely label of each text with a known word, the first of equals."""
-    sums = tokens.join(model, "w").groupBy(key).agg(*(F.sum(f"l{i}").alias(f"s{i}") for i in range(labels)))
+    sums = texts.select(key, F.explode("words").alias("w")).join(small(model), "w").groupBy(key).agg(*(F.sum(f"l{i}").alias(f"s{i}") for i in range(labels)))
     prior = [_milli(F.lit((n + 1.0) / (sum(sizes) + labels))) for n in sizes]
     best = F.array_max(F.array(*(F.struct((F.col(f"s{i}") + prior[i]).alias("s"), F.lit(-i).alias("i")) for i in range(labels))))
     return sums.select(key, (-best["i"]).alias("label"))
 
 
-def seed_labels(tokens: DataFrame, seeds: DataFrame, key: str) -> DataFrame:
-    """(key, label): the label with most seed words in a text, the first of equals; texts with a seed word only."""
-    hits = tokens.join(small(seeds, 100_000), "w").groupBy(key, "label").agg(F.count(F.lit(1)).alias("n"))
-    return hits.groupBy(key).agg(F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("b")).select(key, (-F.col("b.l")).cast("int").alias("label"))
-
-
-def seeded_bayes(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame, labels: list[str], holdout: Column | None = None) -> DataFrame:
+def seeded_bayes(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame, labels: list[str], holdout: Column | None = None, least: int = 2) -> DataFrame:
     """(key, CATEGORIA, SEED): the category that the twice learned model gives, and that of the seeds alone (NULL without any).
 
     ``seeds``: (w, label), the label as its place in ``labels``.  Texts that
     ``holdout`` (a condition on the key) takes out are not learned from in
     either round, so the agreement of the two columns on them measures the model.
     """
-    n, tokens = len(labels), materialize(words(df, key, text, lang).select(key, "w"), "text_words")
-    seeded = materialize(seed_labels(tokens, seeds, key), "seed_labels")
-    learn = F.lit(True) if holdout is None else ~holdout
-    first = _labelled(tokens, *_model(tokens, seeded.where(learn), key, n), key, n)
-    final = _labelled(tokens, *_model(tokens, materialize(first.where(learn), "first_labels"), key, n), key, n)
+    n, learn = len(labels), F.lit(True) if holdout is None else ~holdout
+    texts = materialize(words(df, key, text, lang).select(key, "words").withColumn("seed", seed_label(seeds, n)), "text_words")
+    seeded = texts.where(F.col("seed").isNotNull() & learn).select("words", F.col("seed").alias("label"))
+    first = _labelled(texts, *_model(seeded, n, least), key, n)
+    relearned = materialize(texts.where(learn).join(first, key).select("words", "label"), "first_labels")
+    final = _labelled(texts, *_model(relearned, n, least), key, n)
     name = lambda c: F.element_at(F.array(*map(F.lit, labels)), (F.col(c) + 1).cast("int"))
-    j = df.select(key).join(final, key, "left").join(seeded.withColumnRenamed("label", "seed"), key, "left")
+    j = df.select(key).join(final, key, "left").join(texts.select(key, "seed"), key, "left")
     return j.select(key, F.when(F.col("label").isNotNull(), name("label")).alias("CATEGORIA"), F.when(F.col("seed").isNotNull(), name("seed")).alias("SEED"))

@@ -213,7 +213,7 @@ def _label_seeds(spark, sf_dir, docs):
 @query("sentiment_learned", "D4", with_ctes("""
 WITH sides AS (SELECT doc_id, lang, bool_or(p > 0) AS pos, bool_or(p < 0) AS neg FROM text_words JOIN label_seeds USING (lang, w) GROUP BY doc_id, lang),
 n AS (SELECT lang, count(*) FILTER (pos) AS np, count(*) FILTER (neg) AS nn FROM sides GROUP BY lang),
-counts AS (SELECT lang, w, count(*) FILTER (pos) AS cp, count(*) FILTER (neg) AS cn FROM text_words JOIN sides USING (doc_id, lang) GROUP BY lang, w),
+counts AS (SELECT lang, w, count(*) FILTER (pos) AS cp, count(*) FILTER (neg) AS cn FROM text_words JOIN sides USING (doc_id, lang) GROUP BY lang, w HAVING count(*) >= 3),
 pol AS (SELECT lang, w, CAST(round(ln(CAST((cp + 1) * (nn + 2) AS DOUBLE) / CAST((cn + 1) * (np + 2) AS DOUBLE)) * 1000) AS BIGINT) AS pol FROM counts JOIN n USING (lang)),
 sums AS (SELECT doc_id, sum(pol) AS s, sum(abs(pol)) AS a FROM text_words JOIN pol USING (lang, w) GROUP BY doc_id)
 SELECT CAST(d.doc_id AS BIGINT) AS doc_id, round(coalesce(CAST(s AS DOUBLE) / nullif(CAST(a AS DOUBLE), 0), 0), 4) AS SENTIMIENTO
@@ -246,7 +246,7 @@ def _bayes_sql(name: str, labels: str) -> str:
     best = " ".join(f"WHEN s{i} = greatest(s0, s1, s2, s3) THEN {i}" for i in range(4))
     return f"""
 {name}_n AS (SELECT {sizes} FROM {labels}),
-{name}_m AS (SELECT w, {logs} FROM text_words JOIN {labels} USING (doc_id), {name}_n GROUP BY w),
+{name}_m AS (SELECT w, {logs} FROM text_words JOIN {labels} USING (doc_id), {name}_n GROUP BY w HAVING count(*) >= 2),
 {name} AS (SELECT doc_id, CASE {best} END AS label FROM (SELECT doc_id, {sums} FROM text_words JOIN {name}_m USING (w), {name}_n GROUP BY doc_id))"""
 
 
@@ -268,7 +268,7 @@ def q_categories_learned(spark, sf_dir):
     docs = bridge.table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     tokens = learned.words(docs, "doc_id", "text", "lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))
-    common = tokens.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("r", rank).where(F.col("r") <= LAST_RANK)
+    common = tokens.select("lang", F.explode("words").alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")).withColumn("r", rank).where(F.col("r") <= LAST_RANK)
     common = common.where(F.col("r") >= FIRST_RANK).select("w", (F.col("r") % 4).cast("int").alias("label"))
     seeds = spark.createDataFrame(_KEYWORDS, "w string, label int").union(common).groupBy("w").agg(F.min("label").alias("label"))
     return learned.seeded_bayes(docs, "doc_id", "text", "lang", seeds, LABELS, F.col("doc_id") % 5 == 0)
