@@ -181,8 +181,9 @@ def test_agreement_on_holdouts_of_texts_with_topics(spark):
     """
     import random
     g = random.Random(5)
-    topics = [[f"t{k}w{i}" for i in range(40)] for k in range(4)]
-    common = [f"c{i}" for i in range(100)]
+    word = lambda first, i: first + "abcdefghij"[i // 10] + "abcdefghij"[i % 10]
+    topics = [[word(f"t{'wxyz'[k]}", i) for i in range(40)] for k in range(4)]
+    common = [word("c", i) for i in range(100)]
     rows = [(i, " ".join(g.sample(topics[i % 4], 6) + g.sample(common, 12)), "en") for i in range(800)]
     docs = spark.createDataFrame(rows, "id long, text string, lang string")
     seeds = spark.createDataFrame([(w, k) for k in range(4) for w in topics[k][:2]], "w string, label int")
