@@ -113,9 +113,21 @@ def version(spark: SparkSession, root: str, number: int) -> Version:
     return Version(number, found["name"], found["schema"], tuple(File(**f) for f in found["files"]), found["done"], found["state"], found["sides"])
 
 
+def _known(spark: SparkSession, root: str, number: int) -> Version | None:
+    """The version, or None if another writer has cleaned it away meanwhile."""
+    try:
+        return version(spark, root, number)
+    except Py4JJavaError as e:
+        if "FileNotFound" not in e.java_exception.getClass().getName():
+            raise
+        return None
+
+
 def live(spark: SparkSession, root: str) -> Version | None:
-    numbers = versions(spark, root)
-    return version(spark, root, numbers[-1]) if numbers else None
+    while numbers := versions(spark, root):
+        if found := _known(spark, root, numbers[-1]):
+            return found
+    return None
 
 
 def _publish(spark: SparkSession, root: str, new: Version) -> bool:
@@ -144,10 +156,11 @@ def _publish(spark: SparkSession, root: str, new: Version) -> bool:
 def _clean(spark: SparkSession, root: str, new: Version, keep: int) -> None:
     """Drop manifests before the last ``keep`` versions, and the files that only they name."""
     numbers = [n for n in versions(spark, root) if n <= new.number]
-    old = [version(spark, root, n) for n in numbers[:-keep]]
-    if not old:
+    old = [v for n in numbers[:-keep] if (v := _known(spark, root, n))]
+    kept = [_known(spark, root, n) for n in numbers[-keep:]]
+    if not old or None in kept:  # a later writer cleans, and knows more
         return
-    needed = {p for n in numbers[-keep:] for p in version(spark, root, n).paths()}
+    needed = {p for v in kept for p in v.paths()}
     folders = {p.split("/")[0] for p in needed}
     gone = {p for v in old for p in v.paths()} - needed
     for name in {p if p.split("/")[0] in folders else p.split("/")[0] for p in gone}:
