@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from saleswh.functions.sap import since_days
 from saleswh.operators.commit import materialize
+from saleswh.operators.sizing import small
 
 EPOCH = "1970-01-01"
 
@@ -151,7 +152,47 @@ def summarize(df: DataFrame, id_col: str, text: str) -> DataFrame:
     Ties go to the first sentence.  Every document comes back: without any
     word of letters its first sentence with text is the summary, and without
     such a sentence the summary is NULL.
+
+    A document is one row, and its sentences are rated in place; nothing but
+    the ids is shuffled.  Rows that share an id are one document: these are
+    rated by grouping.
     """
+    shared = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
+    shared = materialize(shared, "shared_ids")
+    if shared.isEmpty():
+        return _own_summaries(df, id_col, text)
+    shared = small(shared)
+    return _own_summaries(df.join(shared, F.col(id_col) == shared["_id"], "left_anti"), id_col, text).unionByName(
+        _shared_summaries(df.join(shared, F.col(id_col) == shared["_id"], "left_semi"), id_col, text))
+
+
+def _own_summaries(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Summaries of documents of one row each; NULL without an id."""
+    def best(sentences):  # the words of each sentence, None for one without text
+        if sentences is None:
+            return None
+        seen = {}
+        for words in sentences:
+            for w in words if words is not None else ():
+                seen[w] = seen.get(w, 0) + 1
+        seen.pop("", None)
+        found, top = None, -1.0
+        for place, words in enumerate(sentences):
+            if words is not None:
+                counts = [seen[w] for w in words if w]
+                score = sum(counts) / len(counts) if counts else 0.0
+                if score > top:
+                    found, top = place, score
+        return found
+
+    words = F.transform("_sents", lambda s: F.when(F.trim(s) != "", F.split(F.lower(s), TOKEN_SPLIT)))
+    place = F.udf(best, "int", useArrow=True)(words)
+    cut = df.select(id_col, F.split(F.col(text), SENTENCE_SPLIT).alias("_sents")).withColumn("_best", place)
+    return cut.select(id_col, F.when(F.col(id_col).isNotNull(), F.trim(F.get("_sents", F.col("_best")))).alias("RESUMEN"))
+
+
+def _shared_summaries(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Summaries of documents whose sentences may be in several rows."""
     sent = df.select(id_col, F.posexplode(F.split(F.col(text), SENTENCE_SPLIT)).alias("_pos", "_sent"))
     sent = sent.where(F.trim("_sent") != "")
     words = sent.select(id_col, "_pos", F.explode(F.split(F.lower("_sent"), TOKEN_SPLIT)).alias("_w")).where("_w <> ''")
