@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from saleswh.functions.sap import TAX_ID_RE, payload, quarantine_key
 from saleswh.operators.commit import Keyed, materialize
 from saleswh.operators.merge import merge_insert
+from saleswh.operators.sizing import small
 from saleswh.operators.windows import duplicates
 from saleswh.plans.warehouse import Warehouse, fact_sales_orders_src
 
@@ -68,16 +69,26 @@ def rule_rows(stg: DataFrame, as_of: str) -> DataFrame:
     return _quarantine(bad, F.col("_RULE"), "STG_SALES_ORDERS", _order_key(), as_of)
 
 
-def rule_unique(stg: DataFrame, as_of: str) -> DataFrame:
-    """Q14: extra copies of (order, item) beyond the earliest load."""
-    extra = duplicates(stg, ["ORDER_ID", "ITEM_NO"], ["_LOADED_AT"])
+def extra_copies(stg: DataFrame) -> DataFrame:
+    """Copies of (order, item) beyond the earliest load."""
+    return duplicates(stg, ["ORDER_ID", "ITEM_NO"], ["_LOADED_AT"])
+
+
+def rule_unique(stg: DataFrame, as_of: str, extra: DataFrame | None = None) -> DataFrame:
+    """Q14: extra copies of (order, item) beyond the earliest load; ``extra``: these, where they are known."""
+    extra = extra_copies(stg) if extra is None else extra
     return _quarantine(extra, 3, "STG_SALES_ORDERS", _order_key(), as_of)
 
 
 def rule_fk(stg: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
-    """Customer not among the current ones (NULL key is an orphan too)."""
+    """Customer not among the current ones (NULL key is an orphan too).
+
+    Ids are looked up on their own, each once; whole rows are read only of those that are missing.
+    """
     cur = customers.select("CUSTOMER_ID").distinct()
-    orphans = stg.join(cur, "CUSTOMER_ID", "left_anti").select(*stg.columns)
+    missing = stg.select("CUSTOMER_ID").distinct().join(cur, "CUSTOMER_ID", "left_anti").select(F.col("CUSTOMER_ID").alias("_missing"))
+    missing = small(materialize(missing, "missing_customers"))
+    orphans = stg.join(missing, stg.CUSTOMER_ID.eqNullSafe(missing._missing), "left_semi")
     return _quarantine(orphans, 4, "STG_SALES_ORDERS", _order_key(), as_of)
 
 
@@ -112,8 +123,10 @@ def run_dq_checks(wh: Warehouse, as_of: str | None = None, orders: DataFrame | N
     """Q19: the whole catalogue as one quarantine frame (status PENDIENTE); ``orders``: the committed staging orders of a load."""
     as_of = as_of or wh.as_of
     so = wh.committed_sales_orders if orders is None else orders
+    if orders is None and wh.order_copies is None:  # of one committed table: found once, however many runs check it
+        wh.order_copies = materialize(extra_copies(so), "order_copies")
     parts = [rule_rows(so, as_of),
-             rule_unique(so, as_of),
+             rule_unique(so, as_of, wh.order_copies if orders is None else None),
              rule_fk(so, wh.stg_customers, as_of),  # all staged customers are current; no key is needed
              rule_format(wh.stg_customers, as_of),
              rule_cross(wh.stg_billing, so, as_of)]

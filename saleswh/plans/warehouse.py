@@ -151,6 +151,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, commit_tables: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.commit_tables = commit_tables
+        self.order_copies: DataFrame | None = None  # extra copies in the committed orders, once they are known
 
     @cached_property
     def calendar_span(self) -> tuple[str, str]:
