@@ -17,9 +17,11 @@ order in which tasks add them.
 Scale: a text is one row with the array of its different words, and it is told
 from that row alone which seeds it holds.  Words are counted by partial
 aggregates; the tables of words that come out are broadcast if they are small
-(measured), else joined by shuffle, where AQE splits a word that a third of all
-texts has.  Words in fewer than ``least`` texts say nothing: they would be most
-of such a table.  Seeds are a parameter and small.
+(measured).  Else the words of most texts are, which is nearly all that a text
+holds, and only the others are joined by shuffle, where AQE splits a word that
+many texts have.  Words in fewer than ``least`` texts say nothing: they would be
+most of such a table.  The arrays of words are written once; labels are joined
+to them.  Seeds are a parameter and small.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from saleswh.operators.commit import materialize
-from saleswh.operators.sizing import small
+from saleswh.operators.sizing import frequent, small
 from saleswh.plans.analytics import TOKEN_SPLIT
 
 MILLI = 1000
@@ -46,6 +48,24 @@ def words(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     return df.select(key, F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(found, F.array().cast("array<string>")).alias("words"))
 
 
+def look_up(texts: DataFrame, key: str, table: DataFrame, by: list[str]) -> DataFrame:
+    """(key, values): a row of ``table`` for each word of a text that it has.
+
+    ``table``: (by, n, values), one row for each ``by``: the word ``w``, and
+    columns of the texts.  ``n`` is the number of texts it was learned from.
+    Words of many texts are looked up where the text is; if there are too many
+    to broadcast them all, the words not found are shuffled to the others.
+    """
+    values = [c for c in table.columns if c not in (*by, "n")]
+    found = texts.select(key, *(c for c in by if c != "w"), F.explode("words").alias("w"))
+    often, seldom = frequent(table, "n")
+    parts = [] if often is None else [found.join(often, by)]
+    if seldom is not None:
+        parts.append((found if often is None else found.join(often, by, "left_anti")).join(seldom, by))
+    hits = [p.select(key, *values) for p in parts]
+    return hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
+
+
 # ------------------------------------------------------------------ seeds
 def seeds_of_labels(texts: DataFrame, labels: DataFrame, key: str, many: int = 20, least: int = 3) -> DataFrame:
     """(lang, w, p): for each language the ``many`` words that most tell good texts (p = 1) from bad ones (p = -1).
@@ -70,7 +90,7 @@ def seeds_of_labels(texts: DataFrame, labels: DataFrame, key: str, many: int = 2
 
 # ------------------------------------------------------------------ D4
 def polarity(texts: DataFrame, seeds: DataFrame, least: int = 3) -> DataFrame:
-    """(lang, w, pol): thousandths of PMI with positive seeds less PMI with negative ones."""
+    """(lang, w, n, pol): texts with the word and a seed, and thousandths of PMI with positive seeds less PMI with negative ones."""
     sides = seeds.groupBy("lang").agg(F.collect_list(F.when(F.col("p") > 0, F.col("w"))).alias("_p"), F.collect_list(F.when(F.col("p") < 0, F.col("w"))).alias("_n"))
     rows = texts.join(small(sides, 100_000), "lang").select("lang", "words", F.arrays_overlap("words", "_p").alias("pos"), F.arrays_overlap("words", "_n").alias("neg"))
     rows = rows.where("pos or neg")
@@ -78,15 +98,14 @@ def polarity(texts: DataFrame, seeds: DataFrame, least: int = 3) -> DataFrame:
     counts = rows.select("lang", "pos", "neg", F.explode("words").alias("w")).groupBy("lang", "w").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("pos").alias("cp"), F.count_if("neg").alias("cn")).where(F.col("n") >= least)
     ratio = ((F.col("cp") + 1) * (F.col("_nn") + 2)).cast("double") / ((F.col("cn") + 1) * (F.col("_np") + 2)).cast("double")
-    return counts.join(small(n, 100_000), "lang").select("lang", "w", _milli(ratio).alias("pol"))
+    return counts.join(small(n, 100_000), "lang").select("lang", "w", "n", _milli(ratio).alias("pol"))
 
 
 def sentiment(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame, least: int = 3) -> DataFrame:
     """(key, SENTIMIENTO): the polarities of a text's words, summed, over the sum of their sizes: -1 to 1; 0 without any."""
     texts = materialize(words(df, key, text, lang), "text_words")
     rated = materialize(polarity(texts, materialize(seeds, "seeds"), least), "polarity")
-    hits = texts.select(key, "lang", F.explode("words").alias("w")).join(small(rated), ["lang", "w"])
-    sums = hits.groupBy(key).agg(F.sum("pol").alias("_s"), F.sum(F.abs("pol")).alias("_a"))
+    sums = look_up(texts, key, rated, ["lang", "w"]).groupBy(key).agg(F.sum("pol").alias("_s"), F.sum(F.abs("pol")).alias("_a"))
     score = F.col("_s").cast("double") / F.nullif(F.col("_a").cast("double"), F.lit(0.0))
     return df.select(key).join(sums, key, "left").select(key, F.round(F.coalesce(score, F.lit(0.0)), 4).alias("SENTIMIENTO"))
 
@@ -103,18 +122,18 @@ def seed_label(seeds: DataFrame, labels: int) -> Column:
 
 
 def _model(labelled: DataFrame, labels: int, least: int) -> tuple[DataFrame, list[int]]:
-    """From (words, label): (w, l0, l1, ...), thousandths of the log share of texts of each label with the word; and the labels' texts."""
+    """From (words, label): (w, n, l0, l1, ...), the texts with the word and thousandths of the log share of texts of each label with it; and the labels' texts."""
     found = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each label
     sizes = [next((r["n"] for r in found if r["label"] == i), 0) for i in range(labels)]
     counts = labelled.select("label", F.explode("words").alias("w")).groupBy("w").agg(
         F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("label") == i).alias(f"n{i}") for i in range(labels))).where(F.col("n") >= least)
     logs = [_milli((F.col(f"n{i}") + 1).cast("double") / F.lit(float(sizes[i] + 2))).alias(f"l{i}") for i in range(labels)]
-    return materialize(counts.select("w", *logs), "bayes_model"), sizes
+    return materialize(counts.select("w", "n", *logs), "bayes_model"), sizes
 
 
 def _labelled(texts: DataFrame, model: DataFrame, sizes: list[int], key: str, labels: int) -> DataFrame:
     """(key, label): the most likely label of each text with a known word, the first of equals."""
-    sums = texts.select(key, F.explode("words").alias("w")).join(small(model), "w").groupBy(key).agg(*(F.sum(f"l{i}").alias(f"s{i}") for i in range(labels)))
+    sums = look_up(texts, key, model, ["w"]).groupBy(key).agg(*(F.sum(f"l{i}").alias(f"s{i}") for i in range(labels)))
     prior = [_milli(F.lit((n + 1.0) / (sum(sizes) + labels))) for n in sizes]
     best = F.array_max(F.array(*(F.struct((F.col(f"s{i}") + prior[i]).alias("s"), F.lit(-i).alias("i")) for i in range(labels))))
     return sums.select(key, (-best["i"]).alias("label"))
@@ -130,8 +149,8 @@ def seeded_bayes(df: DataFrame, key: str, text: str, lang: str, seeds: DataFrame
     n, learn = len(labels), F.lit(True) if holdout is None else ~holdout
     texts = materialize(words(df, key, text, lang).select(key, "words").withColumn("seed", seed_label(seeds, n)), "text_words")
     seeded = texts.where(F.col("seed").isNotNull() & learn).select("words", F.col("seed").alias("label"))
-    first = _labelled(texts, *_model(seeded, n, least), key, n)
-    relearned = materialize(texts.where(learn).join(first, key).select("words", "label"), "first_labels")
+    first = materialize(_labelled(texts, *_model(seeded, n, least), key, n), "first_labels")
+    relearned = texts.where(learn).join(small(first), key).select("words", "label")
     final = _labelled(texts, *_model(relearned, n, least), key, n)
     name = lambda c: F.element_at(F.array(*map(F.lit, labels)), (F.col(c) + 1).cast("int"))
     j = df.select(key).join(final, key, "left").join(texts.select(key, "seed"), key, "left")

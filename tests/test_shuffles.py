@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from saleswh.operators import commit, merge, sizing, windows
-from saleswh.plans import analytics, dq_batch, silver
+from saleswh.plans import analytics, dq_batch, learned, silver
 from saleswh.sources import bridge
 from test_silver import AT, HDR, ITM, header, item
 
@@ -131,3 +131,50 @@ def test_summaries_need_no_shuffle_of_words(spark):
     assert same(got) == same(analytics._shared_summaries(df, "id", "t"))
     shared = spark.createDataFrame([*rows, (0, "Cat cat cat. Other"), (21, "late. words words")], "id int, t string")
     assert same(analytics.summarize(shared, "id", "t")) == same(analytics._shared_summaries(shared, "id", "t"))
+
+
+# ------------------------------------------------------------------ words of texts
+def word_texts(spark):
+    """Words of 8, 4, 2 and 1 texts, a key that comes twice, one that is null, texts without words."""
+    rows = [(i, " ".join(["all"] + ["half"] * (i < 4) + ["pair"] * (i < 2) + [f"own{'abcdefgh'[i]}"]), "en") for i in range(8)]
+    return spark.createDataFrame([*rows, (0, "pair half", "en"), (None, "all pair", "en"), (9, None, "en"), (10, "12", None)], "id long, t string, lang string")
+
+
+def test_rows_of_largest_count_are_broadcast_as_far_as_they_fit(spark):
+    df = spark.createDataFrame([("a", 9, 1), ("b", 8, 2), ("c", 4, 3), ("d", 1, 4)], "w string, n long, v long")
+    names = lambda x: "" if x is None else "".join(sorted(r.w for r in x.collect()))
+    for most, want in ((4, ("abcd", "")), (3, ("abc", "d")), (2, ("ab", "cd")), (1, ("", "abcd")), (0, ("", "abcd"))):
+        often, seldom = sizing.frequent(df, "n", max_rows=most)
+        assert (names(often), names(seldom)) == want
+        assert all(x is None or x.columns == ["w", "v"] for x in (often, seldom))
+        assert often is None or "strategy=broadcast" in plan(df.join(often, "w"))
+        assert seldom is None or "strategy=broadcast" not in plan(df.join(seldom, "w"))
+    assert names(sizing.frequent(df, "n", max_bytes=50)[0]) == "ab"  # 25 bytes each
+    assert sizing.frequent(df.limit(0), "n", max_rows=0)[1] is None
+
+
+def test_only_words_of_few_texts_are_shuffled_where_not_all_fit(spark, monkeypatch):
+    texts = learned.words(word_texts(spark), "id", "t", "lang")
+    table = spark.createDataFrame([("all", 9, 5), ("half", 5, 7), ("pair", 4, 11), ("owna", 1, 13)], "w string, n long, v long")
+    want = Counter({(None, 5): 1, (None, 11): 1} | {(i, 5): 1 for i in range(8)} | {(i, 7): 1 + (i == 0) for i in range(4)} | {(0, 11): 2, (1, 11): 1, (0, 13): 1})
+    for most in (10, 3, 1, 0):
+        monkeypatch.setattr(sizing, "DEFAULT_BROADCAST_ROWS", most)
+        got = learned.look_up(texts, "id", table, ["w"])
+        assert Counter(tuple(r) for r in got.collect()) == want
+        assert ("LeftAnti" in plan(got)) == (most in (3, 1))
+
+
+def test_texts_of_a_large_model_are_told_alike_and_their_words_written_once(spark, monkeypatch):
+    docs, written = word_texts(spark), []
+    monkeypatch.setattr(learned, "materialize", lambda df, label: written.append(df.columns) or commit.materialize(df, label))
+    seeds = spark.createDataFrame([("pair", 0), ("owng", 1), ("half", 1)], "w string, label int")
+    sides = spark.createDataFrame([("en", "pair", 1), ("en", "owng", -1)], "lang string, w string, p int")
+    got = []
+    for most in (2_000_000, 2, 0):
+        monkeypatch.setattr(sizing, "DEFAULT_BROADCAST_ROWS", most)
+        if not most:
+            monkeypatch.setattr(learned, "small", lambda df, *_: df)
+        bayes = learned.seeded_bayes(docs, "id", "t", "lang", seeds, ["a", "b"], F.col("id") == 3, least=1)
+        got.append([sorted(map(str, x.collect())) for x in (bayes, learned.sentiment(docs, "id", "t", "lang", sides, least=1))])
+    assert got[0] == got[1] == got[2] and len(got[0][0]) == 14
+    assert sum("words" in c for c in written) == 3 * 2  # once for each of the two models
