@@ -32,7 +32,6 @@ all other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -297,18 +296,32 @@ def _counter(n: int, buckets: int, bitmap, hot: np.ndarray, limits: Limits):
 
 
 def merged(runs: list[tuple[pa.Array, np.ndarray]], most: int) -> Iterator[pa.Table]:
-    """The distinct phrases of sorted runs with the sums of their counts, in order, block by block."""
-    at = [0] * len(runs)
-    while left := [i for i, (p, _) in enumerate(runs) if at[i] < len(p)]:
-        # no run has more than a block up to the first of the blocks' last phrases
-        stop = min(runs[i][0][min(at[i] + most, len(runs[i][0])) - 1].as_py() for i in left)
-        parts = []
-        for i in left:
-            phrases, counts = runs[i]
-            end = bisect_right(range(len(phrases)), stop, at[i], key=lambda x, p=phrases: p[x].as_py())
-            parts.append(pa.table({"phrase": phrases[at[i]:end], "f": counts[at[i]:end]}))
-            at[i] = end
-        yield pa.concat_tables(parts).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
+    """The distinct phrases of sorted runs with the sums of their counts, in order, block by block.
+
+    The blocks end at phrases that are sampled from all runs, so there are as
+    many as ``most`` rows each make, however many runs there are; none has more
+    than twice that (or a row of each run).  All runs are searched at once.
+    """
+    if not runs:
+        return
+    phrases, counts = pa.concat_arrays([p for p, _ in runs]), np.concatenate([c for _, c in runs])
+    sizes = np.array([len(p) for p, _ in runs])
+    ends = np.cumsum(sizes)
+    at = ends - sizes
+    step = max(1, most // len(runs))
+    sample = phrases.take(pa.array(np.flatnonzero((np.arange(len(phrases)) - np.repeat(at, sizes)) % step == 0)))
+    cuts = sample.take(pc.array_sort_indices(sample)[max(1, most // step)::max(1, most // step)]).unique() if len(phrases) > most else []
+    for cut in [*cuts, None]:
+        low, high = (at.copy(), ends.copy()) if cut is not None else (ends, ends)
+        while len(open_ := np.flatnonzero(low < high)):
+            middle = (low[open_] + high[open_]) // 2
+            within = pc.less_equal(phrases.take(pa.array(middle)), cut).to_numpy(zero_copy_only=False)
+            low[open_[within]], high[open_[~within]] = middle[within] + 1, middle[~within]
+        taken = low - at
+        if total := int(taken.sum()):
+            rows = np.arange(total) + np.repeat(at - (np.cumsum(taken) - taken), taken)
+            yield pa.table({"phrase": phrases.take(pa.array(rows)), "f": counts[rows]}).group_by("phrase").aggregate([("f", "sum")]).rename_columns(["phrase", "f"])
+        at = low
 
 
 def _merger(least: int, limits: Limits):

@@ -80,3 +80,15 @@ def test_merging_sorted_runs():
     runs = [(pa.array(sorted(p), pa.large_binary()), __import__("numpy").arange(len(p))) for p in ([b"a", b"c", b"d"], [b"b", b"c"], [])]
     out = [(r["phrase"], r["f"]) for t in C.merged(runs, 1) for r in t.to_pylist()]
     assert sorted(out) == [(b"a", 0), (b"b", 0), (b"c", 2), (b"d", 2)]
+
+
+def test_blocks_follow_the_rows_and_not_the_runs():
+    g = random.Random(3)
+    lists = [sorted(g.sample(range(900), g.randrange(1, 12))) for _ in range(400)] + [[7]] * 300
+    runs = [(pa.array([b"%03d" % x for x in p], pa.large_binary()), __import__("numpy").full(len(p), 2)) for p in lists]
+    rows = sum(map(len, lists))
+    blocks = list(C.merged(runs, 1000))
+    assert len(blocks) <= 2 * rows // 1000 + 1
+    out = [(r["phrase"], r["f"]) for t in blocks for r in t.to_pylist()]
+    assert sorted(out) == sorted((b"%03d" % x, 2 * n) for x, n in Counter(x for p in lists for x in p).items())
+    assert list(C.merged([], 10)) == []
