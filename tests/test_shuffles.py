@@ -108,6 +108,59 @@ def test_reconciliation_joins_only_orders_that_do_not_add_up(spark):
     assert "Exchange hashpartitioning" not in physical(cls)
 
 
+def test_a_side_is_broadcast_only_within_the_drivers_share(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"), "id")
+    assert sizing.fits(df, 1000) and sizing.light(df, 1000) and not sizing.light(df, 999) and not sizing.light(df, 1000, 100)
+    heap = sizing.driver_share(spark, 1)
+    assert 100 << 20 < heap < 1 << 40 and sizing.driver_share(spark) == heap // sizing.HEAP_PART
+    monkeypatch.setattr(sizing, "driver_share", lambda *_: sizing.relation_bytes(*sizing.measured(df)) - 1)
+    assert sizing.fits(df, 1000) and not sizing.light(df, 1000)
+
+
+def test_facts_are_the_same_however_their_sides_are_joined(spark, monkeypatch):
+    items = [item(o, n, net=net) for o in ("1", "01", "2", "3", None, " ", "7") for n, net in (("10", "60.00"), ("010", "40.00"), ("20", "40.02"), (None, "1.00"))]
+    items += [item("4", "10", qty="-1"), item("4", "20", net="100.00"), item("5", net="7.00"), item("5", "20", net=None), item("6", net="100.00")]
+    headers = [header("1"), header("001"), header("2", total="80.02"), header("3", total=None), header("4"), header("5", total="7.01"), header("6", total="100.01"), header(None), header(" ")]
+    written = []
+    monkeypatch.setattr(silver, "materialize", lambda df, label: written.append(label) or commit.materialize(df, label))
+    got = {}
+    for rows in (silver.KEY_ROWS, 0):
+        for few in (True, False):
+            monkeypatch.setattr(silver, "KEY_ROWS", rows)
+            monkeypatch.setattr(silver, "light", lambda *_, few=few: few)
+            written.clear()
+            got[rows, few] = Counter(str(sorted(r.asDict().items())) for r in classified(spark, items, headers).collect())
+            assert written.count("fact_classified") == 1 and ("fact_joined" in written) == (rows == 0)
+    assert len(set(map(str, (sorted(x.items()) for x in got.values())))) == 1 and sum(got[0, True].values()) > 10
+    assert any(silver.RECON_WARNING in k for k in got[0, True]) and not all(silver.RECON_WARNING in k for k in got[0, True])
+
+
+def test_joined_rows_are_not_shuffled_for_dimensions_or_totals(spark, monkeypatch):
+    monkeypatch.setattr(silver, "light", lambda *_: False)
+    plans = []
+    monkeypatch.setattr(silver, "materialize", lambda df, label: plans.append((label, physical(df))) or commit.materialize(df, label))
+    classified(spark, [item("1"), item("2")], [header("1"), header("2")])
+    text = dict(plans)["fact_classified"]
+    top = text.splitlines()
+    joined = next(n for n, line in enumerate(top) if "Join" in line and "h__k_SalesOrder" in line)
+    assert any("Window" in line for line in top[:joined]) and not any("Exchange" in line for line in top[:joined])
+
+
+def test_bronze_items_are_the_same_whether_lowest_lines_are_broadcast(spark, scratch, monkeypatch):
+    day = dt.datetime(1997, 1, 1)
+    lines = [(k, 5, 6, n, 2.0, 10.5, "F", "R", day) for k in (200, 201, 202, 203, 400) for n in (1, 2, 2)]
+    lines += [(None, 5, 6, 1, 2.0, 10.5, "F", "R", day), (600, 5, 6, None, 2.0, 10.5, "F", "R", day), (601, None, 6, 3, None, 1.0, None, None, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_linestatus string, l_returnflag string, l_shipdate timestamp_ntz").write.parquet(f"{scratch}/lineitem.parquet")
+    near = bridge.bronze_items(spark, scratch)
+    monkeypatch.setattr(bridge, "light", lambda *_: False)
+    far = bridge.bronze_items(spark, scratch)
+    assert near.schema == far.schema and "BroadcastHashJoin" in physical(near)
+    rows = Counter(map(str, near.collect()))
+    assert rows == Counter(map(str, far.collect())) and sum(rows.values()) == len(lines)
+    assert sum("RequestedQuantity='-5'" in r for r in rows) == 2 and sum("SalesOrderItem=None" in r for r in rows) > 1
+
+
 def test_dimension_rows_come_once_with_their_first_time(spark):
     base = spark.createDataFrame([("1", None, dt.datetime(2000, 1, 2)), ("1", None, dt.datetime(2000, 1, 1)), ("1", "x", None), ("1", "x", None)],
                                  "k string, r string, _ingestion_timestamp timestamp")
