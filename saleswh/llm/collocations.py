@@ -296,21 +296,25 @@ def _counter(n: int, buckets: int, bitmap, hot: np.ndarray, limits: Limits):
 
 
 def merged(runs: list[tuple[pa.Array, np.ndarray]], most: int) -> Iterator[pa.Table]:
-    """The distinct phrases of sorted runs with the sums of their counts, in order, block by block.
+    """The distinct phrases of sorted runs with the sums of their counts, in order, block by block."""
+    if runs:
+        yield from merged_from(pa.concat_arrays([p for p, _ in runs]), np.concatenate([c for _, c in runs]), np.array([len(p) for p, _ in runs]), most)
+
+
+def merged_from(phrases: pa.Array, counts: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[pa.Table]:
+    """As ``merged``, of runs that lie one after another, with the size of each.
 
     The blocks end at phrases that are sampled from all runs, so there are as
     many as ``most`` rows each make, however many runs there are; none has more
     than twice that (or a row of each run).  All runs are searched at once.
     """
-    if not runs:
-        return
-    phrases, counts = pa.concat_arrays([p for p, _ in runs]), np.concatenate([c for _, c in runs])
-    sizes = np.array([len(p) for p, _ in runs])
     ends = np.cumsum(sizes)
     at = ends - sizes
-    step = max(1, most // len(runs))
-    sample = phrases.take(pa.array(np.flatnonzero((np.arange(len(phrases)) - np.repeat(at, sizes)) % step == 0)))
-    cuts = sample.take(pc.array_sort_indices(sample)[max(1, most // step)::max(1, most // step)]).unique() if len(phrases) > most else []
+    cuts = []
+    if len(phrases) > most:
+        step = max(1, most // len(sizes))
+        sample = phrases.take(pa.array(np.concatenate([np.arange(a, z, step) for a, z in zip(at.tolist(), ends.tolist())])))  # noqa: B905
+        cuts = sample.take(pc.array_sort_indices(sample)[max(1, most // step)::max(1, most // step)]).unique()
     for cut in [*cuts, None]:
         low, high = (at.copy(), ends.copy()) if cut is not None else (ends, ends)
         while len(open_ := np.flatnonzero(low < high)):
@@ -331,12 +335,13 @@ def _merger(least: int, limits: Limits):
             own = table.filter(pc.equal(table["lang"], lang))
             # the word count of a language rides along, as a row without a phrase
             out.append(pa.table({"lang": [lang], "phrase": pa.array([None], pa.large_binary()), "f": [pc.sum(own["total"]).as_py()]}))
-            runs = [(p.values.cast(pa.large_binary()), c.values.to_numpy()) for p, c in zip(own["phrases"], own["counts"], strict=True) if len(p)]
-            for block in merged(runs, limits.merged):
+            phrases, counts = pc.list_flatten(own["phrases"]).cast(pa.large_binary()), pc.list_flatten(own["counts"])
+            whole = [x.chunk(0) if x.num_chunks == 1 else x.combine_chunks() for x in (phrases, counts)]
+            for block in merged_from(whole[0], whole[1].to_numpy(), pc.list_value_length(own["phrases"]).to_numpy(), limits.merged):
                 block = block.filter(pc.greater_equal(block["f"], least))
                 out.append(pa.table({"lang": pa.array([lang] * len(block), pa.string()), "phrase": block["phrase"], "f": block["f"]}))
-        whole = pa.concat_tables(out)
-        return whole.set_column(1, "phrase", whole["phrase"].cast(pa.string()))
+        found = pa.concat_tables(out)
+        return found.set_column(1, "phrase", found["phrase"].cast(pa.string()))
 
     return merge
 
