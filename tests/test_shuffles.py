@@ -146,6 +146,15 @@ def test_joined_rows_are_not_shuffled_for_dimensions_or_totals(spark, monkeypatc
     assert any("Window" in line for line in top[:joined]) and not any("Exchange" in line for line in top[:joined])
 
 
+def test_keys_of_a_batch_are_broadcast_only_within_the_drivers_share(spark, monkeypatch):
+    items, headers = spark.createDataFrame([item("1"), item("01"), item(None)], ITM), spark.createDataFrame([header("001"), header("2"), header(None)], HDR)
+    few = silver.headers_of(items, headers)
+    monkeypatch.setattr(sizing, "driver_share", lambda *_: 1)
+    many = silver.headers_of(items, headers)
+    assert "strategy=broadcast" in plan(few) and "strategy=broadcast" not in plan(many)
+    assert sorted(str(r.SalesOrder) for r in few.collect()) == sorted(str(r.SalesOrder) for r in many.collect()) == ["001", "None"]
+
+
 def test_bronze_items_are_the_same_whether_lowest_lines_are_broadcast(spark, scratch, monkeypatch):
     day = dt.datetime(1997, 1, 1)
     lines = [(k, 5, 6, n, 2.0, 10.5, "F", "R", day) for k in (200, 201, 202, 203, 400) for n in (1, 2, 2)]
